@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.functions.clock import BUCKET_PATTERNS, bucket_label, event_date, hour_of_day
+from clickloom.functions.clock import BUCKET_PATTERNS, hour_of_day
 from clickloom.functions.money import REVENUE_MODES, revenue, total, total_cents
 from clickloom.functions.ratios import fraction, guarded_percent, percent_or_null, percent_or_zero
 from clickloom.schema import HOUR_MS
+from clickloom.sources.silver import day_column, since
 
 TYPE_COUNTS = (("impressions", "impression"), ("clicks", "click"), ("conversions", "conversion"))
 
@@ -101,7 +102,7 @@ def hourly_trends(events: DataFrame, now_ms: Column, hours_back: int = 24) -> Da
     if not 1 <= hours_back <= 168:
         raise ValueError("hours_back must be 1..168")
     return (
-        events.where(F.col("timestamp") >= now_ms - hours_back * HOUR_MS)
+        since(events, now_ms - hours_back * HOUR_MS)
         .groupBy(hour_of_day().alias("hour"))
         .agg(*type_counts(), total(revenue()).alias("revenue"))
     )
@@ -143,13 +144,13 @@ def _campaign_metrics(events: DataFrame, *keys: str, count_name: str | None = No
 
 def campaign_performance_range(events: DataFrame, start: str, end: str | None = None) -> DataFrame:
     """Every campaign over an inclusive range of UTC dates."""
-    ranged = events.where(event_date().between(F.lit(start).cast("date"), F.lit(end or start).cast("date")))
+    ranged = events.where(day_column(events).between(F.lit(start).cast("date"), F.lit(end or start).cast("date")))
     return _campaign_metrics(ranged, "campaign_id", count_name="total_events")
 
 
 def campaign_metrics_today(events: DataFrame, now_ms: Column) -> DataFrame:
     today = F.to_date(F.timestamp_millis(now_ms))
-    return _campaign_metrics(events.where(event_date() == today), "campaign_id")
+    return _campaign_metrics(events.where(day_column(events) == today), "campaign_id")
 
 
 def campaign_metrics_bucketed(events: DataFrame) -> DataFrame:
@@ -198,7 +199,7 @@ def dashboard_today(events: DataFrame, now_ms: Column) -> DataFrame:
     Events fold to campaigns first; everything else works on those rows.
     """
     midnight = F.unix_millis(F.date_trunc("day", F.timestamp_millis(now_ms)))
-    today = events.where(event_date() == F.to_date(F.timestamp_millis(now_ms)))
+    today = events.where(day_column(events) == F.to_date(F.timestamp_millis(now_ms)))
     campaigns = today.groupBy("campaign_id").agg(
         F.count(F.lit(1)).alias("_n"), *type_counts(), F.sum(revenue()).alias("_revenue"))
     best = (
@@ -228,8 +229,8 @@ def top_performers(events: DataFrame, now_ms: Column, metric: str = "revenue", p
     """The best campaigns of the current hour, day or month by one metric, ranked, with how many were compared."""
     if metric not in _TOP_METRICS or period not in BUCKET_PATTERNS or not 1 <= limit <= 50:
         raise ValueError("metric, period or limit out of range")
-    current = F.date_format(F.timestamp_millis(now_ms), BUCKET_PATTERNS[period])
-    grouped = events.where(bucket_label(period) == current).groupBy("campaign_id").agg(
+    start = F.unix_millis(F.date_trunc(period, F.timestamp_millis(now_ms)))
+    grouped = since(events, start).where(F.col("timestamp") <= now_ms).groupBy("campaign_id").agg(
         *type_counts(), total(revenue("conversions_only")).alias("revenue_usd"))
     measured = grouped.select(
         "campaign_id", "revenue_usd", "clicks", "conversions",

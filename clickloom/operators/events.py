@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.functions.clock import bucket_label
+from clickloom.sources.silver import day_column
 
 MINUTE_MS = 60_000
 
@@ -28,8 +28,7 @@ def campaign_events(events: DataFrame, campaign_id: str, event_type: str | None
 
 
 def campaign_day_events(events: DataFrame, campaign_id: str, day: str, limit: int = 100) -> DataFrame:
-    on_day = (F.col("event_date") == F.lit(day).cast("date")) if "event_date" in events.columns \
-        else bucket_label("day") == day
+    on_day = day_column(events) == F.lit(day).cast("date")
     return newest(events.where((F.col("campaign_id") == campaign_id) & on_day), limit)
 
 

@@ -8,6 +8,8 @@ from clickloom.functions.clock import event_date
 from clickloom.functions.identity import partition_key, sort_key
 from clickloom.operators.dedup import latest_by_key
 from clickloom.schema import RETENTION_SECONDS
+from clickloom.session import cut_lineage
+from clickloom.sources.silver import day_column
 
 EVENT_TTL_SECONDS = dict(RETENTION_SECONDS)["events"]
 
@@ -29,8 +31,7 @@ def upserted(events: DataFrame, now_ms: Column) -> DataFrame:
 def live(events: DataFrame, now_ms: Column, days: int = EVENT_TTL_SECONDS // 86400) -> DataFrame:
     """Events inside the retention period, by whole UTC days, so that old date partitions are never read."""
     first_day = F.date_sub(F.to_date(F.timestamp_millis(now_ms)), days)
-    day = F.col("event_date") if "event_date" in events.columns else event_date()
-    return events.where(day >= first_day)
+    return events.where(day_column(events) >= first_day)
 
 
 def retention_report(events: DataFrame, now_ms: Column) -> DataFrame:
@@ -67,8 +68,6 @@ def upsert_silver(batch: DataFrame, path: str, key: str = "event_id") -> None:
     The current content of those dates is read with a semi join on the date partition, and the merged rows are
     checkpointed before the overwrite, since a table must not be replaced while it is being read.
     """
-    from clickloom.session import cut_lineage
-
     spark = batch.sparkSession
     fresh = batch.withColumn("event_date", event_date()).withColumn("_version", F.lit(1))
     dates = fresh.select("event_date").distinct()

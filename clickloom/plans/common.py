@@ -10,6 +10,7 @@ from clickloom.functions.clock import as_of
 from clickloom.operators.dedup import dedup
 from clickloom.operators.enrich import identified
 from clickloom.sources.adapter import ad_events
+from clickloom.sources.silver import silver_table
 
 
 def registrar(registry: dict) -> Callable:
@@ -25,10 +26,17 @@ def received(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """Duplicate-free events with just the named columns; only those are read and shuffled."""
+    """Duplicate-free events with just the named columns; only those are read and shuffled.
+
+    A session that names a silver table reads that; otherwise duplicates are removed on the way.
+    """
+    table = silver_table(spark)
+    if table is not None:
+        return table.select("event_id", *columns, "event_date")
     return dedup(received(spark, sf_dir), columns=columns)
 
 
 def now(spark: SparkSession, sf_dir: str) -> Column:
     """The newest event time, from a scan of one column."""
-    return as_of(ad_events(spark, sf_dir))
+    table = silver_table(spark)
+    return as_of(ad_events(spark, sf_dir) if table is None else table)
