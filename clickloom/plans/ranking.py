@@ -14,34 +14,38 @@ query = registrar(QUERIES)
 _SHOWN = ("event_type", "timestamp", "user_id", "campaign_id")
 
 
+def _listed(rows, *more):
+    return rows.select("event_id", *_SHOWN, *more)
+
+
 @query
 def latest_events(spark, sf_dir):
-    return ev.newest(events(spark, sf_dir, *_SHOWN), 1000)
+    return _listed(ev.newest(events(spark, sf_dir, *_SHOWN), 1000))
 
 
 @query
 def campaign_events(spark, sf_dir):
-    return ev.campaign_events(events(spark, sf_dir, *_SHOWN), "campaign_7", "click", 100)
+    return _listed(ev.campaign_events(events(spark, sf_dir, *_SHOWN), "campaign_7", "click", 100))
 
 
 @query
 def campaign_day_events(spark, sf_dir):
-    return ev.campaign_day_events(events(spark, sf_dir, *_SHOWN), "campaign_7", "2024-01-15", 100)
+    return _listed(ev.campaign_day_events(events(spark, sf_dir, *_SHOWN), "campaign_7", "2024-01-15", 100))
 
 
 @query
 def user_events(spark, sf_dir):
-    return ev.user_events(events(spark, sf_dir, *_SHOWN), "user_8", 50)
+    return _listed(ev.user_events(events(spark, sf_dir, *_SHOWN), "user_8", 50))
 
 
 @query
 def events_by_type(spark, sf_dir):
-    return ev.events_by_type(events(spark, sf_dir, *_SHOWN), "conversion", 100)
+    return _listed(ev.events_by_type(events(spark, sf_dir, *_SHOWN), "conversion", 100))
 
 
 @query
 def user_recent_events(spark, sf_dir):
-    return ev.newest_per_key(events(spark, sf_dir, *_SHOWN), "user_id", 10)
+    return _listed(ev.newest_per_key(events(spark, sf_dir, *_SHOWN), "user_id", 10), "recency")
 
 
 @query

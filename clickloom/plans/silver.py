@@ -57,7 +57,7 @@ def enriched_events_min(spark, sf_dir):
 
 @query
 def dedup_events(spark, sf_dir):
-    return events(spark, sf_dir, "event_type", "timestamp", "user_id", "campaign_id")
+    return dd.dedup(received(spark, sf_dir), columns=("event_type", "timestamp", "user_id", "campaign_id"))
 
 
 @query
