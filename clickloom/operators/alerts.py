@@ -137,8 +137,8 @@ def health_summary(states: DataFrame, dashboard: DataFrame) -> DataFrame:
         current("EventsPerSecond", "events_per_second"), current("ProcessingLatency", "processing_latency_ms"),
         current("ErrorRate", "error_rate"), current("CPUUtilization", "cpu_usage"),
         current("MemoryUtilization", "memory_usage"))
-    health = overall_health(states)
-    status = health.select("overall_status").scalar()
+    health = overall_health(states).select(F.struct("overall_status", "active_alerts")).scalar()
+    status = health["overall_status"]
     return figures.select(
         F.when(status.isin("HEALTHY", "WARNING"), "healthy").otherwise("unhealthy").alias("status"),
-        status.alias("overall_status"), health.select("active_alerts").scalar().alias("active_alerts"), "*")
+        status.alias("overall_status"), health["active_alerts"].alias("active_alerts"), "*")

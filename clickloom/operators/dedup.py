@@ -39,9 +39,7 @@ def dedup_ttl(events: DataFrame, key: str = "event_id", ttl_ms: int = DEDUP_TTL_
     payload = [c for c in events.columns if c not in (key, "timestamp")]
     copies = events.groupBy(key, "timestamp").agg(F.min(F.struct(*payload)).alias("_row"))
     unique = cut_lineage(copies)
-    spans = unique.groupBy(key).agg(F.min("timestamp").alias("kept"), F.max("timestamp").alias("_end"))
-
-    frontier = cut_lineage(spans)
+    frontier = unique.groupBy(key).agg(F.min("timestamp").alias("kept"), F.max("timestamp").alias("_end"))
     kept = frontier.select(key, F.col("kept").alias("timestamp"))
     salt = F.pmod(F.xxhash64("timestamp"), F.lit(salts)).cast("int").alias("_salt")
     instants = unique.select(key, "timestamp", salt)
@@ -53,11 +51,9 @@ def dedup_ttl(events: DataFrame, key: str = "event_id", ttl_ms: int = DEDUP_TTL_
             .where(F.col("timestamp") - F.col("kept") > ttl_ms)
             .select(key, "timestamp", "_salt", "_end")
         )
-        frontier = cut_lineage(
-            later.groupBy(key).agg(F.min("timestamp").alias("kept"), F.first("_end").alias("_end"))
-        )
-        if frontier.isEmpty():
+        if later.isEmpty():
             break
+        frontier = later.groupBy(key).agg(F.min("timestamp").alias("kept"), F.first("_end").alias("_end"))
         instants = later.select(key, "timestamp", "_salt")
         kept = kept.unionByName(frontier.select(key, F.col("kept").alias("timestamp")))
     winners = unique.join(kept, [key, "timestamp"], "left_semi")

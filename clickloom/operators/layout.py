@@ -70,7 +70,7 @@ def upsert_silver(batch: DataFrame, path: str, key: str = "event_id") -> None:
     """
     spark = batch.sparkSession
     fresh = batch.withColumn("event_date", event_date()).withColumn("_version", F.lit(1))
-    dates = fresh.select("event_date").distinct()
+    dates = F.broadcast(fresh.select("event_date").distinct())  # as many rows as days touched
     current = spark.read.parquet(path).join(dates, "event_date", "left_semi").withColumn("_version", F.lit(0))
     merged = latest_by_key(current.unionByName(fresh.select(*current.columns)), ["event_date", key], ["_version"])
     write_silver(cut_lineage(merged.drop("_version", "event_date")), path)

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickloom.session import cut_lineage, shuffle_slices
+from clickloom.session import broadcast_if_small, cut_lineage, shuffle_slices
 
 SLICE = "_slice"
 
@@ -122,9 +122,9 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, points: dict[s
     Rows are first folded to a histogram, whose running totals are then split over slices.
     """
     histogram = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    cumulative = with_running_totals(slice_rows(histogram, keys, [value]), _cum="_n")
-    sizes = cumulative.groupBy(*keys).agg(F.max("_cum").alias("_size"))
-    ranked = cumulative.join(sizes, keys)
+    sliced = slice_rows(histogram, keys, [value])
+    sizes = broadcast_if_small(sliced.rows.groupBy(*keys).agg(F.sum("_n").alias("_size")))
+    ranked = with_running_totals(sliced, _cum="_n").join(sizes, keys)
     return ranked.groupBy(*keys).agg(*[
         F.min(F.when(F.col("_cum") * 100 >= F.col("_size") * percent, F.col(value))).alias(name)
         for name, percent in points.items()

@@ -10,32 +10,29 @@ CORRUPT = "_corrupt_record"
 _PARSED = T.StructType(RAW_EVENT.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def _is_empty_object(text: Column) -> Column:
-    return text.rlike(r"^\{\s*\}$")
-
-
-def line_class(text: Column, corrupt: Column) -> Column:
-    """blank, empty, malformed or event. ``text`` is trimmed."""
+def _line_class() -> Column:
+    """blank, empty, malformed or event. The pattern is only tried on lines that set none of the key fields."""
+    line = F.col("raw_line")
+    nothing_set = F.coalesce("event_id", "event_type", "user_id", "campaign_id", F.col("timestamp").cast("string")).isNull()
     return (
-        F.when(text == "", "blank")
-        .when(_is_empty_object(text), "empty")
-        .when(corrupt.isNotNull(), "malformed")
+        F.when(line == "", "blank")
+        .when(F.col(CORRUPT).isNotNull(), "malformed")
+        .when(nothing_set & line.rlike(r"^\{\s*\}$"), "empty")
         .otherwise("event")
     )
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Parse every line once; keeps the raw text and its class next to the 36 event fields."""
-    text = F.trim(F.regexp_replace(F.col(column), r"[\r\n\t]+", " "))
+    """Parse every line once; keeps the raw text and its class next to the 36 event fields.
+
+    The parsed struct goes through a generator, not a projection: a filter on its fields cannot be pushed below that,
+    where the parser would be run again for every field the filter names.
+    """
     parsed = F.from_json("raw_line", _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return (
-        lines.select(text.alias("raw_line"))
-        .withColumn("_event", parsed)
-        .select(
-            "raw_line",
-            line_class(F.col("raw_line"), F.col(f"_event.{CORRUPT}")).alias("line_class"),
-            *[F.col(f"_event.{f.name}").alias(f.name) for f in RAW_EVENT.fields],
-        )
+        lines.select(F.trim(F.col(column), F.lit(" \t\r\n")).alias("raw_line"))
+        .select("raw_line", F.inline(F.array(parsed)))
+        .select("raw_line", _line_class().alias("line_class"), *[f.name for f in RAW_EVENT.fields])
     )
 
 

@@ -16,3 +16,15 @@ def all_queries() -> dict[str, Query]:
     for module in (silver, aggregates, ranking, monitoring, attribution):
         merged.update(module.QUERIES)
     return merged
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> None:
+    """Temporary views for use from SQL: raw deliveries, enriched events and metric points."""
+    from clickloom.operators.dedup import dedup
+    from clickloom.operators.enrich import enrich
+    from clickloom.sources.adapter import ad_events, metric_points
+
+    raw = ad_events(spark, sf_dir)
+    raw.createOrReplaceTempView("raw_ad_events")
+    dedup(enrich(raw, extra=("ingest_seq",))).drop("ingest_seq").createOrReplaceTempView("ad_events")
+    metric_points(spark, sf_dir).createOrReplaceTempView("metric_points")

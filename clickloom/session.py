@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -52,3 +54,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def shuffle_slices(spark: SparkSession) -> int:
     """How many ordered slices to cut: the session's shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast a side after counting it (no further than the bound); a larger one is left to a shuffled join.
+
+    For aggregates that are expected to be tiny but depend on the data. They are checkpointed, so the count is no
+    second computation, and the join that follows does not shuffle its big side by a handful of keys.
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.limit(rows + 1).count() <= rows else stored

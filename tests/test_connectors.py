@@ -66,3 +66,23 @@ def test_keyed_sink_through_a_stream(spark, tmp_path, sf_dir):
     q.awaitTermination(120)
     assert q.exception() is None
     assert spark.read.parquet(path).count() == events.count()
+
+
+def test_metrics_table(spark, tmp_path):
+    from clickloom.sources.metrics import put_points, read_points
+
+    path = str(tmp_path / "metrics")
+    put_points(spark.createDataFrame([("EventsPerSecond", 5.0, 1706659032194)], "name string, value double, timestamp bigint"), path)
+    put_points(spark.createDataFrame([("ErrorRate", 1.0, 1706600000000, "percent")],
+                                     "name string, value double, timestamp bigint, unit string"), path)
+    rows = read_points(spark, path, F.lit(1706659032194 + 1000)).collect()
+    assert [(r.name, r.unit, r.metric_type, r.dimensions) for r in rows] == [("EventsPerSecond", "count", "gauge", {})]
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_views_serve_sql(spark, sf_dir):
+    from clickloom.plans import register_views
+
+    register_views(spark, sf_dir)
+    row = spark.sql("SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM ad_events").first()
+    assert row.n == row.ids < spark.table("raw_ad_events").count()
