@@ -33,10 +33,13 @@ def as_of(df: DataFrame, instant: int | Column | None = None, column: str = "tim
     """The query's "now", in the column's own unit.
 
     A literal prunes partitions at planning time, so production jobs should pass one. Without it
-    "now" is the newest row, read through a scalar subquery: no join and no trip to the driver.
+    "now" is the newest row, read through a scalar subquery: no join and no trip to the driver. On a dated table
+    only the newest day's times are read.
     """
     if isinstance(instant, Column):
         return instant
     if instant is not None:
         return F.lit(instant).cast("bigint")
+    if "event_date" in df.columns:
+        df = df.where(F.col("event_date") == df.agg(F.max("event_date")).scalar())
     return df.agg(F.max(column)).scalar()

@@ -105,6 +105,7 @@ def hourly_trends(events: DataFrame, now_ms: Column, hours_back: int = 24) -> Da
         since(events, now_ms - hours_back * HOUR_MS)
         .groupBy(hour_of_day().alias("hour"))
         .agg(*type_counts(), total(revenue()).alias("revenue"))
+        .orderBy("hour")
     )
 
 

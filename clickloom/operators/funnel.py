@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from clickloom.functions.money import revenue, total
 from clickloom.functions.ratios import fraction
@@ -21,12 +21,11 @@ def cvr_by_device(events: DataFrame) -> DataFrame:
 
 
 def share_of_total(events: DataFrame, *keys: str) -> DataFrame:
-    """Events per key value and their share. The total is taken over the counted keys, not over the events."""
+    """Events per key value and their share of all counted events."""
     counts = events.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"))
-    everything = Window.partitionBy()
+    everything = counts.agg(F.sum("events")).scalar()
     return counts.select(
-        *keys, "events",
-        (F.col("events").cast("double") / F.sum("events").over(everything).cast("double")).alias("share"))
+        *keys, "events", (F.col("events").cast("double") / everything.cast("double")).alias("share"))
 
 
 def session_summary(events: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from clickloom.functions.clock import event_date
 from clickloom.functions.identity import partition_key, sort_key
 from clickloom.operators.dedup import latest_by_key
 from clickloom.schema import RETENTION_SECONDS
-from clickloom.session import cut_lineage
+from clickloom.session import cut_lineage, shuffle_slices
 from clickloom.sources.silver import day_column
 
 EVENT_TTL_SECONDS = dict(RETENTION_SECONDS)["events"]
@@ -49,14 +49,17 @@ def retention_report(events: DataFrame, now_ms: Column) -> DataFrame:
     return counts.select(F.inline(policies))
 
 
-def write_silver(events: DataFrame, path: str, files_per_day: int = 64) -> None:
-    """Replace the touched ``event_date`` partitions. Rows cluster by campaign and sort by time, so that row-group
-    statistics serve the campaign lookups; a salt keeps a hot campaign or day from landing in one task."""
+def write_silver(events: DataFrame, path: str, partitions: int | None = None) -> None:
+    """Replace the touched ``event_date`` partitions.
+
+    Rows are cut into ranges of (date, campaign, time): a lookup of a campaign and day opens few files, row-group
+    statistics are narrow, and a busy day or campaign is spread over as many tasks as its share of the rows asks for.
+    """
+    order = ["event_date", "campaign_id", "timestamp", "event_id"]
     dated = events.withColumn("event_date", event_date())
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(files_per_day))
     (
-        dated.repartition("event_date", salt)
-        .sortWithinPartitions("event_date", "campaign_id", "timestamp", "event_id")
+        dated.repartitionByRange(partitions or shuffle_slices(events.sparkSession), *order)
+        .sortWithinPartitions(*order)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date").parquet(path)
     )

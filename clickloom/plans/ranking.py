@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.operators import campaigns as ca, events as ev, monitoring as mo
-from clickloom.plans.common import events, registrar
+from clickloom.plans.common import events, now, registrar
 from clickloom.sources.adapter import metric_points, table
+from clickloom.sources.silver import day_column
 
 QUERIES: dict = {}
 query = registrar(QUERIES)
@@ -20,7 +21,7 @@ def _listed(rows, *more):
 
 @query
 def latest_events(spark, sf_dir):
-    return _listed(ev.newest(events(spark, sf_dir, *_SHOWN), 1000))
+    return _listed(ev.newest(events(spark, sf_dir, *_SHOWN), 1000)).orderBy("timestamp", "event_id")
 
 
 @query
@@ -48,6 +49,14 @@ def user_recent_events(spark, sf_dir):
     return _listed(ev.newest_per_key(events(spark, sf_dir, *_SHOWN), "user_id", 10), "recency")
 
 
+@query
+def campaign_recent_events(spark, sf_dir):
+    """The ten newest events of the current day for every campaign."""
+    read = events(spark, sf_dir, *_SHOWN)
+    today = read.where(day_column(read) == F.to_date(F.timestamp_millis(now(spark, sf_dir))))
+    return _listed(ev.newest_per_key(today, "campaign_id", 10), "recency")
+
+
 @query
 def top_campaigns(spark, sf_dir):
     return ca.top_campaigns(events(spark, sf_dir, "campaign_id", "event_type", "revenue_usd", "conversion_value_usd"))

@@ -16,6 +16,10 @@ SQL = {
     "events_by_type": _newest("event_type = 'conversion'", 100),
     "user_recent_events": ADS + f"""
 , r AS (SELECT {_SHOWN}, CAST(row_number() OVER (PARTITION BY user_id ORDER BY "timestamp" DESC, event_id DESC) AS INTEGER) AS recency FROM ev)
+SELECT * FROM r WHERE recency <= 10""",
+    "campaign_recent_events": ADS + f"""
+, r AS (SELECT {_SHOWN}, CAST(row_number() OVER (PARTITION BY campaign_id ORDER BY "timestamp" DESC, event_id DESC) AS INTEGER) AS recency
+  FROM ev, nowrow WHERE CAST(make_timestamp("timestamp" * 1000) AS DATE) = CAST(make_timestamp(now_ms * 1000) AS DATE))
 SELECT * FROM r WHERE recency <= 10""",
     "top_campaigns": ADS + f"""
 , c AS (SELECT campaign_id, {COUNTS}, round(sum({REVENUE}), 2)::DOUBLE AS revenue FROM ev GROUP BY 1)
