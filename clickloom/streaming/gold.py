@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.functions.clock import event_time
+from clickloom.functions.clock import BUCKET_PATTERNS, event_time
 from clickloom.functions.money import revenue
-from clickloom.operators.campaigns import type_counts
+from clickloom.operators.campaigns import campaign_metrics_bucketed, campaign_metrics_today, type_counts
 from clickloom.streaming.ingest import Tables
 
 
@@ -58,3 +58,29 @@ def refresh_gold(spark: SparkSession, tables: Tables, target: Tables, first_day:
     for path, build in ((target.minutes, minute_windows), (target.campaign_hours, campaign_hour_windows)):
         (build(silver).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date").parquet(path))
+
+
+def write_campaign_metrics(silver: DataFrame, path: str) -> None:
+    """Keep campaign metrics per hour, day and month, one folder per grain, sorted for lookups by campaign."""
+    metrics = campaign_metrics_bucketed(silver)
+    order = ["time_period", "campaign_id", "time_bucket"]
+    (metrics.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("time_period").parquet(path))
+
+
+def campaign_metrics(spark: SparkSession, gold_path: str, silver: DataFrame, campaign_id: str, now_ms: Column,
+                     time_period: str = "hour") -> DataFrame:
+    """A campaign's metrics for the current hour, day or month: the stored row, else the day's figures from silver.
+
+    The fallback reads one campaign and one date of silver, and yields a row only when nothing is stored.
+    """
+    if time_period not in BUCKET_PATTERNS:
+        raise ValueError("time_period must be hour, day or month")
+    figures = ["impressions", "clicks", "conversions", "revenue_usd", "unique_users", "ctr", "conversion_rate"]
+    bucket = F.date_format(F.timestamp_millis(now_ms), BUCKET_PATTERNS[time_period])
+    stored = spark.read.parquet(gold_path).where(
+        (F.col("time_period") == time_period) & (F.col("campaign_id") == campaign_id) & (F.col("time_bucket") == bucket))
+    computed = campaign_metrics_today(silver.where(F.col("campaign_id") == campaign_id), now_ms)
+    absent = stored.agg(F.count(F.lit(1))).scalar() == 0
+    return stored.select("campaign_id", *figures, F.lit("stored").alias("origin")).unionByName(
+        computed.where(absent).select("campaign_id", *figures, F.lit("computed").alias("origin")))

@@ -17,7 +17,8 @@ from clickloom.schema import DAY_MS, HOUR_MS, RAW_EVENT
 from clickloom.sources.adapter import metric_points
 from clickloom.streaming.alarms import process_points, start_alarms, summary_points
 from clickloom.streaming.attribution import start_attribution
-from clickloom.streaming.gold import minute_windows, refresh_gold, start_gold
+from clickloom.streaming.gold import (campaign_metrics, minute_windows, refresh_gold, sliding_hour, start_gold,
+                                      write_campaign_metrics)
 from clickloom.streaming.ingest import Tables, ingest_batch, progress_metrics, start_ingest
 
 START = 1704067200000
@@ -194,3 +195,41 @@ def test_summaries_become_metric_points(spark):
     got = {r.name: r.value for r in summary_points(batches).collect()}
     assert got == {"EventsProcessed": 1000.0, "EventsPerSecond": 500.0, "ProcessingLatency": 2.0, "ErrorRate": 1.0,
                    "TotalRevenue": 100.0, "RevenuePerHour": 180000.0}
+
+
+def test_campaign_lookup_prefers_the_stored_row(spark, tmp_path, sf_dir):
+    gold = str(tmp_path / "metrics")
+    silver = dedup(received(spark, sf_dir)).withColumn("event_date", event_date())
+    now = silver.agg(F.max("timestamp")).first()[0]
+    stored_until = silver.where(F.col("timestamp") < now - now % HOUR_MS)
+    write_campaign_metrics(stored_until, gold)
+    campaign = silver.where(F.col("timestamp") < now - now % HOUR_MS).orderBy(F.desc("timestamp")).first().campaign_id
+
+    def look(period, at=now):
+        return campaign_metrics(spark, gold, silver, campaign, F.lit(at), period).collect()
+    month = look("month")
+    assert [r.origin for r in month] == ["stored"]
+    assert month[0].clicks == stored_until.where((F.col("campaign_id") == campaign) & (F.col("event_type") == "click")).count()
+    today = look("hour")
+    assert [r.origin for r in today] == ["computed"]
+    on_day = silver.where((F.col("campaign_id") == campaign) & (F.col("event_date") == F.to_date(F.timestamp_millis(F.lit(now)))))
+    assert today[0].impressions == on_day.where("event_type = 'impression'").count()
+    assert look("day", now + 400 * DAY_MS) == []
+    with pytest.raises(ValueError):
+        look("week")
+
+
+def test_sliding_hour_on_a_stream(spark, tmp_path, sf_dir):
+    source = str(tmp_path / "in")
+    dedup(received(spark, sf_dir)).write.parquet(source)
+    table = spark.read.parquet(source).withColumn("event_ts", F.timestamp_millis("timestamp"))
+    stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+    timed = stream.withColumn("event_ts", F.timestamp_millis("timestamp")).withWatermark("event_ts", "1 hour")
+    out = str(tmp_path / "out")
+    q = sliding_hour(timed).writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert q.exception() is None
+    expected = {r.as_of: r.events for r in sliding_hour(table).collect()}
+    got = {r.as_of: r.events for r in spark.read.parquet(out).collect()}
+    assert len(got) > 1000 and all(expected[k] == v for k, v in got.items())
