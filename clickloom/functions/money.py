@@ -8,8 +8,8 @@ from clickloom.schema import MONEY
 
 
 def amount(name: str) -> Column:
-    """A money column as an exact decimal; sums of it do not depend on row order."""
-    return F.col(name).cast(MONEY)
+    """A money column as an exact decimal; sums of it do not depend on row order. Out of range is null."""
+    return F.col(name).try_cast(MONEY)
 
 
 def _or_zero(name: str) -> Column:

@@ -6,10 +6,10 @@ repeated id sends at most one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.schema import DAY_MS, DEDUP_TTL_MS
-from clickloom.session import cut_lineage
+from clickloom.session import BROADCAST_ROWS, broadcast_if_small, cut_lineage
 
 
 def dedup(events: DataFrame, key: str = "event_id", order: tuple[str, ...] = ("timestamp", "ingest_seq"),
@@ -22,6 +22,18 @@ def dedup(events: DataFrame, key: str = "event_id", order: tuple[str, ...] = ("t
     return first.select(key, *[F.col(f"_first.{c}").alias(c) for c in wanted])
 
 
+def dedup_matching(events: DataFrame, condition: Column, key: str = "event_id", columns: tuple[str, ...] | None = None,
+                   most_ids: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``dedup`` that meet a selective condition, without shuffling the whole table.
+
+    Whether a matching row is the first arrival depends on all copies of its id, matching or not. So the ids with a
+    match are found first; if they are few, only their copies are deduplicated, found by a broadcast semi join.
+    """
+    ids = broadcast_if_small(events.where(condition).select(key).distinct(), most_ids, otherwise=None)
+    relevant = events if ids is None else events.join(ids, key, "left_semi")
+    return dedup(relevant, key, columns=columns).where(condition)
+
+
 def latest_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Keep the last written row of every key (an upsert table's content)."""
     rest = [c for c in rows.columns if c not in keys and c not in order]

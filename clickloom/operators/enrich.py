@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickloom.functions.clock import day_of_week, hour_of_day
 from clickloom.functions.identity import event_key
+from clickloom.functions.money import amount
 from clickloom.schema import ENRICHED_COLUMNS, MONEY, REDUCED_COLUMNS
 
 _ZERO_DEFAULTS = ("bid_price_usd", "revenue_usd", "conversion_value_usd")
@@ -30,7 +31,7 @@ def _enriched(name: str, now_ms: Column) -> Column:
     if name == "day_of_week":
         return day_of_week().alias(name)
     if name in _ZERO_DEFAULTS:
-        return F.coalesce(F.col(name).cast(MONEY), F.lit(0).cast(MONEY)).alias(name)
+        return F.coalesce(amount(name), F.lit(0).cast(MONEY)).alias(name)
     return F.col(name)
 
 

@@ -40,24 +40,32 @@ def well_formed(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("line_class") == "event").drop("raw_line", "line_class")
 
 
+# Times outside 1970 to 9999 would overflow a timestamp and stop the job.
+LAST_TIME_MS = 253_402_300_799_999
+
+
+def _time_fault(horizon_ms: Column | None) -> Column:
+    time = F.col("timestamp")
+    latest = F.lit(LAST_TIME_MS) if horizon_ms is None else F.least(horizon_ms, F.lit(LAST_TIME_MS))
+    return (
+        F.when(time.isNull(), "no_timestamp")
+        .when(time < 0, "before_epoch")
+        .when(time > latest, "beyond_horizon")
+    )
+
+
 def quarantined(parsed: DataFrame, horizon_ms: Column | None = None) -> DataFrame:
-    """Lines that yield no usable event: malformed ones, and events without a usable time."""
-    poison = F.col("timestamp").isNull()
-    if horizon_ms is not None:
-        poison = poison | (F.col("timestamp") > horizon_ms)
-    bad_event = (F.col("line_class") == "event") & poison
-    return parsed.where((F.col("line_class") == "malformed") | bad_event).select(
-        "raw_line",
+    """Lines that yield no usable event, with the reason: malformed, or an event without a usable time."""
+    reason = (
         F.when(F.col("line_class") == "malformed", "malformed")
-        .when(F.col("timestamp").isNull(), "no_timestamp")
-        .otherwise("beyond_horizon").alias("reason"),
+        .when(F.col("line_class") == "event", _time_fault(horizon_ms))
     )
+    return parsed.select("raw_line", reason.alias("reason")).where(F.col("reason").isNotNull())
 
 
 def usable(parsed: DataFrame, horizon_ms: Column | None = None) -> DataFrame:
     """The complement of ``quarantined`` among events."""
-    events = well_formed(parsed).where(F.col("timestamp").isNotNull())
-    return events if horizon_ms is None else events.where(F.col("timestamp") <= horizon_ms)
+    return well_formed(parsed).where(_time_fault(horizon_ms).isNull())
 
 
 def line_quality(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from clickloom.functions.clock import as_of
-from clickloom.operators.dedup import dedup
+from clickloom.operators.dedup import dedup, dedup_matching
 from clickloom.operators.enrich import identified
 from clickloom.sources.adapter import ad_events
 from clickloom.sources.silver import silver_table
@@ -36,6 +36,14 @@ def events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return dedup(received(spark, sf_dir), columns=columns)
 
 
+def events_matching(spark: SparkSession, sf_dir: str, condition: Column, *columns: str) -> DataFrame:
+    """Duplicate-free events that meet a selective condition on the named columns."""
+    table = silver_table(spark)
+    if table is not None:
+        return events(spark, sf_dir, *columns).where(condition)
+    return dedup_matching(received(spark, sf_dir), condition, columns=columns)
+
+
 def now(spark: SparkSession, sf_dir: str) -> Column:
     """The newest event time, from a scan of one column."""
     table = silver_table(spark)

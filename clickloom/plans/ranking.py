@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from clickloom.operators import campaigns as ca, events as ev, monitoring as mo
-from clickloom.plans.common import events, now, registrar
+from clickloom.plans.common import events, events_matching, now, registrar
 from clickloom.sources.adapter import metric_points, table
 from clickloom.sources.silver import day_column
 
@@ -31,12 +31,15 @@ def campaign_events(spark, sf_dir):
 
 @query
 def campaign_day_events(spark, sf_dir):
-    return _listed(ev.campaign_day_events(events(spark, sf_dir, *_SHOWN), "campaign_7", "2024-01-15", 100))
+    on_day = F.to_date(F.timestamp_millis("timestamp")) == F.lit("2024-01-15").cast("date")
+    read = events_matching(spark, sf_dir, (F.col("campaign_id") == "campaign_7") & on_day, *_SHOWN)
+    return _listed(ev.campaign_day_events(read, "campaign_7", "2024-01-15", 100))
 
 
 @query
 def user_events(spark, sf_dir):
-    return _listed(ev.user_events(events(spark, sf_dir, *_SHOWN), "user_8", 50))
+    read = events_matching(spark, sf_dir, F.col("user_id") == "user_8", *_SHOWN)
+    return _listed(ev.user_events(read, "user_8", 50))
 
 
 @query

@@ -59,11 +59,17 @@ def shuffle_slices(spark: SparkSession) -> int:
 BROADCAST_ROWS = 100_000
 
 
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+_SAME = object()
+
+
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS, otherwise=_SAME) -> DataFrame | None:
     """Broadcast a side after counting it (no further than the bound); a larger one is left to a shuffled join.
 
     For aggregates that are expected to be tiny but depend on the data. They are checkpointed, so the count is no
     second computation, and the join that follows does not shuffle its big side by a handful of keys.
+    ``otherwise`` is returned in place of a side that is too large.
     """
     stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.limit(rows + 1).count() <= rows else stored
+    if stored.limit(rows + 1).count() <= rows:
+        return F.broadcast(stored)
+    return stored if otherwise is _SAME else otherwise

@@ -88,3 +88,13 @@ def test_percentiles_are_nearest_rank(skewed):
     for name, vs in values.items():
         vs.sort()
         assert got[name] == tuple(vs[-(-len(vs) * p // 100) - 1] for p in (50, 95))
+
+
+def test_large_sides_are_not_broadcast(skewed):
+    from clickloom.session import broadcast_if_small
+
+    def hinted(df):
+        return "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(broadcast_if_small(skewed.limit(5), 5))
+    assert not hinted(broadcast_if_small(skewed.limit(6), 5))
+    assert broadcast_if_small(skewed.limit(6), 5, otherwise=None) is None

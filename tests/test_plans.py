@@ -38,7 +38,8 @@ def test_silver_gives_the_same_answers(spark, sf_dir, silver):
     from oracle import all_sql
     connection = compare.duck(sf_dir)
     for name in ("top_campaigns", "hourly_trends", "campaign_metrics_today", "campaign_day_events", "user_journey",
-                 "top_performers_ctr", "dashboard_today", "campaign_performance_range", "data_quality"):
+                 "top_performers_ctr", "dashboard_today", "campaign_performance_range", "data_quality", "latest_events",
+                 "user_events", "user_recent_events", "campaign_recent_events", "minute_history"):
         assert compare.difference(QUERIES[name](spark, sf_dir), connection, all_sql()[name]) is None, name
 
 

@@ -110,6 +110,19 @@ def test_dedup_keeps_first_arrival_and_is_idempotent(spark):
     assert sorted(dedup.dedup(once).collect()) == sorted(once.collect())
 
 
+@pytest.mark.parametrize("most_ids", [0, 100])
+def test_selective_dedup_equals_dedup_then_filter(spark, most_ids):
+    """Copies that disagree: id a first arrives for u1, b first for u2; a lookup must not resurrect later copies."""
+    rows = spark.createDataFrame(
+        [("a", 1, 0, "u1"), ("a", 2, 0, "u2"), ("b", 1, 0, "u2"), ("b", 3, 0, "u1"), ("c", 5, 0, "u1"), ("c", 5, 1, "u1")],
+        "event_id string, timestamp bigint, ingest_seq int, user_id string")
+    for user in ("u1", "u2", "u3"):
+        condition = F.col("user_id") == user
+        got = dedup.dedup_matching(rows, condition, columns=("timestamp", "user_id"), most_ids=most_ids)
+        expected = dedup.dedup(rows, columns=("timestamp", "user_id")).where(condition)
+        assert sorted(got.collect()) == sorted(expected.collect())
+
+
 def test_upsert_keeps_last_write(spark):
     rows = spark.createDataFrame([("k", "s", 0, "old"), ("k", "s", 1, "new")], "pk string, sk string, seq int, v string")
     assert [r.v for r in dedup.latest_by_key(rows, ["pk", "sk"], ["seq"]).collect()] == ["new"]

@@ -42,7 +42,9 @@ FILES = [
     ("ad_events-02.jsonl", [event("i1"), event("k1", "click", 60_000, revenue_usd=1.5), event("i2", at=5_000), event("i2", at=5_000)]),
     ("ad_events-03.jsonl", ["", "{}", '{"event_id":"cut', "not json"]),
     ("ad_events-04.jsonl", [event(None, at=7_000), event("", at=7_000), event(None, at=8_000)]),
-    ("ad_events-05.jsonl", [event("poison", at=None), event("future", at=20000 * DAY_MS), event("late", at=-2 * DAY_MS)]),
+    ("ad_events-05.jsonl", [event("poison", at=None), event("future", at=20000 * DAY_MS), event("late", at=-2 * DAY_MS),
+                            event("overflow", at=9 * 10**18 - START), event("underflow", at=-9 * 10**18),
+                            event("rich", "conversion", revenue_usd=1e30)]),
 ]
 
 
@@ -79,12 +81,12 @@ def test_stream_equals_batch(spark, tmp_path, bronze, copy_salts):
     queries = run(spark, bronze, tables, copy_salts=copy_salts)
     silver = ids(spark, tables)
     assert silver == batch_ids(spark, bronze)
-    assert len(silver) == 7 and "late" in silver and "future" not in silver
+    assert len(silver) == 8 and {"late", "rich"} < set(silver) and "future" not in silver
     reasons = sorted(r.reason for r in spark.read.parquet(tables.quarantine).collect())
-    assert reasons == ["beyond_horizon", "malformed", "malformed", "no_timestamp"]
+    assert reasons == ["before_epoch", "beyond_horizon", "beyond_horizon", "malformed", "malformed", "no_timestamp"]
     summaries = spark.read.parquet(tables.summaries)
     totals = summaries.agg(F.sum("events_errors"), F.sum("events_received"), F.sum("revenue")).first()
-    assert (totals[0], totals[1], float(totals[2])) == (2, 12, 21.0)
+    assert (totals[0], totals[1], float(totals[2])) == (2, 15, 21.0)
     assert sum(p["rows"] for p in progress_metrics(queries[0])) > 0
 
 
