@@ -9,7 +9,6 @@ from clickloom.plans import all_queries
 from clickloom.plans.common import received
 from clickloom.sources.silver import SILVER_SETTING
 
-# These write a checkpoint first; their remaining plan is looked at like the others.
 QUERIES = all_queries()
 
 
