@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 from clickloom.llm.binary_output import op1_binary_output
+from clickloom.llm.html_extraction import op9_html_extraction
+from clickloom.llm.mixing import op10_mixing
 from clickloom.llm.packing import op7_best_fit_packing
+from clickloom.llm.quality_classifier import op5_quality_classifier
 from clickloom.llm.quality_rules import OP8_SQL, op8_quality_rules
+from clickloom.llm.toxicity import op2_toxicity
 
 QUERIES = {
     "op1_binary_output": op1_binary_output,
+    "op2_toxicity": op2_toxicity,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_html_extraction": op9_html_extraction,
+    "op10_mixing": op10_mixing,
 }
 
 SQL = {"op8_quality_rules": OP8_SQL}
