@@ -30,6 +30,8 @@ _CODES = np.arange(256, dtype=np.uint8)
 #: Lengths of the four numbers that a control byte describes.
 LENGTHS = np.stack([((_CODES >> s) & 3) + 1 for s in (0, 2, 4, 6)], axis=1).astype(np.int64)
 _HEADER = 32
+#: Shards whose counts meet in one task, and at most in the driver (a vocabulary's counts each).
+GATHERED = 64
 
 
 def encode_numbers(numbers: np.ndarray) -> tuple[bytes, bytes]:
@@ -82,6 +84,22 @@ def _frame(doc_ids: np.ndarray, counts: np.ndarray, control: bytes, data: bytes)
     return b"".join([head.tobytes(), doc_ids.astype("<i8").tobytes(), counts.astype("<i8").tobytes(), control, data])
 
 
+def corpus_counts(shards: DataFrame, vocabulary: int) -> np.ndarray:
+    """Sum of the shards' counts by id: a tree of sums, GATHERED shards to a task, until the driver can take the rest."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(vocabulary, np.int64)
+        for batch in batches:
+            for one in batch.column(0):
+                total += np.frombuffer(one.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_pydict({"counts": [total.tobytes()]}, schema=pa.schema([("counts", pa.binary())]))
+
+    level, n = shards.select("counts"), shards.count()
+    while n > GATHERED:
+        n = -(-n // GATHERED)
+        level = written(level.repartition(n).mapInArrow(add, "counts binary"), "token-counts")
+    return sum((np.frombuffer(row["counts"], np.int64) for row in level.collect()), np.zeros(vocabulary, np.int64))
+
+
 def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
     """Write all documents' ids to ``folder``; one row per shard: shard, path, n_docs, n_tokens.
 
@@ -118,20 +136,19 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
 
         _put(files, f"{path}.plain", write)
         yield pa.RecordBatch.from_pydict({
-            "shard": [shard], "path": [path], "n_docs": [total[0]], "n_tokens": [total[1]], "ids": [np.flatnonzero(counts)],
-            "counts": [counts[counts > 0]]}, schema=plain_schema)
+            "shard": [shard], "path": [path], "n_docs": [total[0]], "n_tokens": [total[1]], "counts": [counts.tobytes()]}, schema=plain_schema)
 
     plain_schema = pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()),
-                              ("ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64()))])
+                              ("counts", pa.binary())])
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     ordered = texts.repartitionByRange(F.asc_nulls_first("doc_id"), F.xxhash64("text")).sortWithinPartitions(
         F.asc_nulls_first("doc_id"), "text")
     shards = written(ordered.mapInArrow(
-        plain, "shard int, path string, n_docs long, n_tokens long, ids array<long>, counts array<long>"), "token-shards")
+        plain, "shard int, path string, n_docs long, n_tokens long, counts binary"), "token-shards")
 
-    pairs = shards.select(F.explode(F.arrays_zip("ids", "counts")).alias("pair"))
-    seen = pairs.groupBy(F.col("pair.ids").alias("id")).agg(F.sum("pair.counts").alias("n")).toPandas()  # at most one row per id
-    ranks = seen.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy().astype("<u4")
+    vocabulary = tokens(tokenizer).size
+    counts = corpus_counts(shards, vocabulary)
+    ranks = np.argsort(-counts, kind="stable")[:np.count_nonzero(counts)].astype("<u4")
     with store.open_output_stream(f"{root}/ranks.bin") as out:
         out.write(ranks.tobytes())
 
@@ -159,7 +176,6 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str) -> DataFrame:
                     continue
             yield frame[["shard", "path", "n_docs", "n_tokens"]]
 
-    vocabulary = tokens(tokenizer).size
     names = shards.select("shard", "path", "n_docs", "n_tokens")
     one_each = names.repartition(max(1, names.count()), "shard")
     return written(one_each.mapInPandas(coded, "shard int, path string, n_docs long, n_tokens long"), "token-files")
