@@ -292,29 +292,54 @@ def near_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     return first.unionByName(second)
 
 
-def near_groups(docs: DataFrame) -> DataFrame:
-    """doc_id, group_id (smallest doc_id of its group), kept (it is that document).
-
-    Copies of a text form one group, as do texts that links join. Null texts and texts without a word are alone (their own id).
-    Rows of equal id and text are kept or dropped together here; ``drop_near_copies`` leaves one of them. A null id is kept only
-    in a group without ids. An empty table gives no rows; other columns are ignored.
-    """
+def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, classes): rows have doc_id, id (of the text) and worded; classes of texts with a word have id, least (doc_id),
+    group_id, chosen (the one class of its group that stays), again (several rows of this text have the least id)."""
     ship_code(docs.sparkSession)
-    keyed = docs.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    keyed = docs.select("doc_id", _text_id().alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     narrow = written(keyed.select("doc_id", "id", F.col("text").rlike("[^ \t-\r]").alias("worded")), "near-ids")
     idf = word_idf(docs)
     # one row for each text: the row of its smallest doc_id, or, where ids repeat, any of the equal rows
-    least = narrow.where("worded").groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("copies"))
-    once = keyed.join(least, "id").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("id", "text")
+    least = narrow.where("worded").groupBy("id").agg(F.min("doc_id").alias("least"))
     repeats = narrow.where("worded").groupBy("id", "doc_id").count().where("count > 1").select("id").distinct()
-    plain = once.join(repeats, "id", "left_anti").unionByName(once.join(repeats, "id", "left_semi").dropDuplicates(["id"]))
-    texts = written(plain, "near-distinct")
+    least = written(least.join(repeats.withColumn("again", F.lit(True)), "id", "left").withColumn("again", F.coalesce("again", F.lit(False))), "near-least")
+    once = keyed.join(least, "id").where(F.col("doc_id").eqNullSafe(F.col("least"))).select("id", "text", "again")
+    texts = written(once.where("NOT again").unionByName(once.where("again").dropDuplicates(["id"])).drop("again"), "near-distinct")
     roots = components(near_links(texts, idf))
     grouped = least.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    group = grouped.groupBy("root").agg(F.min("least").alias("group_id"))
-    members = grouped.join(group, "root").select("id", "group_id")
-    out = narrow.join(members, "id", "left").withColumn("group_id", F.when(F.col("worded"), F.col("group_id")).otherwise(F.col("doc_id")))
-    return out.select("doc_id", "group_id", F.coalesce(F.col("doc_id").eqNullSafe(F.col("group_id")), F.lit(False)).alias("kept"))
+    first = grouped.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "id")).alias("first"))
+    return narrow, written(grouped.join(first, "root").select(
+        "id", "least", "again", F.col("first.least").alias("group_id"), (F.col("id") == F.col("first.id")).alias("chosen")), "near-classes")
+
+
+def _text_id():
+    return F.unhex(F.md5(F.coalesce("text", F.lit(""))))
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """doc_id, group_id (smallest doc_id of its group), kept (it is that document).
+
+    Copies of a text form one group, as do texts that links join. Null texts and texts without a word are alone (their own id).
+    Rows of equal id and text are kept or dropped together here; ``drop_near_copies`` leaves one of them. A null id is kept only
+    in a group without ids. An empty table gives no rows; other columns are ignored.
+    """
+    rows, classes = _classes(docs)
+    joined = rows.join(classes, "id", "left")
+    kept = ~F.col("worded") | (F.col("chosen") & F.col("doc_id").eqNullSafe(F.col("least")))
+    return joined.select("doc_id", F.when(F.col("worded"), F.col("group_id")).otherwise(F.col("doc_id")).alias("group_id"),
+                         F.coalesce(kept, F.lit(False)).alias("kept"))
+
+
+def drop_near_copies(docs: DataFrame) -> DataFrame:
+    """The documents (all their columns) without near copies: of each group the one with the smallest doc_id stays, once."""
+    _, classes = _classes(docs)
+    stays = classes.where("chosen").select(F.col("id").alias("_near_id"), F.col("least").alias("_near_least"), F.col("again").alias("_near_again"))
+    keyed = docs.withColumn("_near_id", _text_id())
+    worded = F.coalesce(F.col("text").rlike("[^ \t-\r]"), F.lit(False))
+    first = keyed.where(worded).join(stays, "_near_id").where(F.col("doc_id").eqNullSafe(F.col("_near_least")))
+    parts = first.where("NOT _near_again"), first.where("_near_again").dropDuplicates(["_near_id"]), keyed.where(~worded)
+    columns = [f"`{c}`" for c in docs.columns]
+    return parts[0].select(*columns).unionByName(parts[1].select(*columns)).unionByName(parts[2].select(*columns))
 
 
 def op3_near_dedup(spark, sf_dir) -> DataFrame:
