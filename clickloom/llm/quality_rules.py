@@ -106,8 +106,11 @@ def judge(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with their failing lines removed and ``n_chars`` to match."""
-    judged = judge(docs).where("kept")
+    """The documents that pass, with their failing lines removed and ``n_chars`` to match.
+
+    The row number keeps the optimizer from copying the whole judgement into the filter, where it would run again.
+    """
+    judged = judge(docs).withColumn("_q_row", F.monotonically_increasing_id()).where(F.col("kept") & (F.col("_q_row") >= 0))
     changed = {"text": F.col("cleaned")} | ({"n_chars": F.length("cleaned").cast("long")} if "n_chars" in docs.columns else {})
     return judged.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
 
