@@ -291,6 +291,12 @@ def data_quality(events: DataFrame) -> DataFrame:
     )
 
 
+def data_distributions(events: DataFrame) -> DataFrame:
+    """Events per value of the type and of the device; whatever values there are, null included."""
+    dimensions = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).alias("value")) for c in ("event_type", "device_type")])
+    return events.select(F.inline(dimensions)).groupBy("dimension", "value").agg(F.count(F.lit(1)).alias("events"))
+
+
 def distinct_users(events: DataFrame, *keys: str, approximate: bool = False) -> DataFrame:
     count = F.approx_count_distinct if approximate else F.count_distinct
     return events.groupBy(*keys).agg(count(_present("user_id")).alias("unique_users"))

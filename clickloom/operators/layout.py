@@ -65,15 +65,23 @@ def write_silver(events: DataFrame, path: str, partitions: int | None = None) ->
     )
 
 
-def upsert_silver(batch: DataFrame, path: str, key: str = "event_id") -> None:
-    """Merge a batch into the silver table: rewrite only the dates it touches, the new row wins.
+def upsert_keyed(batch: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch into the keyed table: rewrite only the dates it touches, the last arrival under a key wins.
 
-    The current content of those dates is read with a semi join on the date partition, and the merged rows are
-    checkpointed before the overwrite, since a table must not be replaced while it is being read.
+    The table holds both keys, the expiry, and when a row was written (batch and place in it), so a repeated batch replaces
+    itself. It may start empty. The current content of the touched dates is read with a semi join on the date partition, and the
+    merged rows are checkpointed before the overwrite, since a table must not be replaced while it is being read.
     """
     spark = batch.sparkSession
-    fresh = batch.withColumn("event_date", event_date()).withColumn("_version", F.lit(1))
-    dates = F.broadcast(fresh.select("event_date").distinct())  # as many rows as days touched
-    current = spark.read.parquet(path).join(dates, "event_date", "left_semi").withColumn("_version", F.lit(0))
-    merged = latest_by_key(current.unionByName(fresh.select(*current.columns)), ["event_date", key], ["_version"])
-    write_silver(cut_lineage(merged.drop("_version", "event_date")), path)
+    now_ms = F.unix_millis(F.current_timestamp())
+    numbered = batch.drop("event_date").withColumns({
+        "_place": F.monotonically_increasing_id(), "written_batch": F.lit(batch_id).cast("bigint")})
+    fresh = cut_lineage(keyed(numbered, now_ms).withColumn("event_date", event_date()).withColumnRenamed("_place", "written_place"))
+    merged = fresh
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        dates = fresh.select("event_date").distinct()
+        current = spark.read.schema(fresh.schema).parquet(path).join(dates, "event_date", "left_semi")
+        merged = current.where(F.col("written_batch") != batch_id).unionByName(fresh)
+    last = latest_by_key(merged, ["event_date", "partition_key", "sort_key"], ["written_batch", "written_place"])
+    write_silver(cut_lineage(last.drop("event_date")), path)

@@ -54,13 +54,17 @@ def _time_fault(horizon_ms: Column | None) -> Column:
     )
 
 
-def quarantined(parsed: DataFrame, horizon_ms: Column | None = None) -> DataFrame:
-    """Lines that yield no usable event, with the reason: malformed, or an event without a usable time."""
-    reason = (
+def quarantine_reason(horizon_ms: Column | None = None) -> Column:
+    """Why a parsed line yields no usable event (malformed, or no usable time); null for events, blanks and empty objects."""
+    return (
         F.when(F.col("line_class") == "malformed", "malformed")
         .when(F.col("line_class") == "event", _time_fault(horizon_ms))
     )
-    return parsed.select("raw_line", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
+def quarantined(parsed: DataFrame, horizon_ms: Column | None = None) -> DataFrame:
+    """Lines that yield no usable event, with the reason."""
+    return parsed.select("raw_line", quarantine_reason(horizon_ms).alias("reason")).where(F.col("reason").isNotNull())
 
 
 def usable(parsed: DataFrame, horizon_ms: Column | None = None) -> DataFrame:

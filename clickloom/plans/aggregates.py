@@ -144,9 +144,15 @@ def data_quality(spark, sf_dir):
     return ca.data_quality(events(spark, sf_dir, *_QUALITY))
 
 
+@query
+def data_distributions(spark, sf_dir):
+    return ca.data_distributions(events(spark, sf_dir, "event_type", "device_type"))
+
+
 @query
 def data_quality_sample(spark, sf_dir):
-    return ca.data_quality(first_arrivals(events(spark, sf_dir, *_QUALITY)))
+    """The operator samples by a limit; 700 cuts the tables used for tests too."""
+    return ca.data_quality(first_arrivals(events(spark, sf_dir, *_QUALITY), 700))
 
 
 @query

@@ -107,10 +107,10 @@ def revenue_definitions(spark, sf_dir):
 
 @query
 def combined_sources(spark, sf_dir):
-    """Three feeds with different columns, united by name."""
+    """Feeds with different columns, united by name."""
     raw = ad_events(spark, sf_dir)
     own_columns = {"impression": ["viewability_score"], "click": ["revenue_usd", "engagement_duration_ms"],
-                   "conversion": ["revenue_usd", "conversion_value_usd"]}
+                   "conversion": ["revenue_usd", "conversion_value_usd"], "unknown": []}
     feeds = [
         raw.where(F.col("event_type") == kind).select(
             F.lit(kind).alias("feed"), "src_id", "ingest_seq", "timestamp", *extra)

@@ -59,6 +59,7 @@ DEVICE_TYPES = ("mobile", "desktop", "tablet", "tv")
 
 METRIC_POINT = T.StructType([
     T.StructField("name", _STRING),
+    T.StructField("point_id", _LONG),
     T.StructField("value", _DOUBLE),
     T.StructField("metric_type", _STRING),
     T.StructField("timestamp", _LONG),

@@ -2,6 +2,9 @@
 
 The table holds no ad fields, so those are formed from its ids, types, amounts and times. Rows whose
 millisecond stamp is a multiple of 50 are delivered twice (``ingest_seq`` 0, then 1).
+
+Every click is preceded by an impression of the same user and ad, and every other conversion by such a click, at gaps that cover a
+link's limits: just too near, nearest, in between (two touches at once), farthest, just too far.
 """
 
 from __future__ import annotations
@@ -16,6 +19,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_TOUCH_GAPS_MS = {
+    "click": ((999,), (1_000,), (60_000, 60_000), (300_000,), (300_001,)),
+    "purchase": ((359_999,), (360_000,), (DAY_MS, DAY_MS), (7 * DAY_MS,), (7 * DAY_MS + 1,)),
+}
+_TOUCH_STEP = 1_000_000_000
+
+
+def _with_touches(base: DataFrame) -> DataFrame:
+    """The rows and the touches made for them."""
+    src = F.col("src_id")
+
+    def gaps(kind: str) -> Column:
+        lists = [F.array(*[F.lit(g).cast("bigint") for g in gap]) for gap in _TOUCH_GAPS_MS[kind]]
+        return F.element_at(F.array(*lists), (src % 5 + 1).cast("int"))
+    chosen = F.when(F.col("raw_type") == "click", gaps("click")).when(
+        (F.col("raw_type") == "purchase") & (src % 2 == 0), gaps("purchase")).otherwise(F.array().cast("array<bigint>"))
+    touch = F.when(F.col("raw_type") == "click", "view").otherwise("click")
+    made = F.transform(chosen, lambda gap, i: F.struct(
+        (src + (i + 1) * F.lit(_TOUCH_STEP)).cast("bigint").alias("src_id"), (F.col("timestamp") - gap).alias("timestamp"), touch.alias("raw_type")))
+    rows = F.concat(F.array(F.struct("src_id", "timestamp", "raw_type")), made)
+    return base.select("uid", "amount", "k", F.inline(rows))
+
+
 def _pick(index: Column, *values: str) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
@@ -43,7 +69,7 @@ def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     served = kind.isin("impression", "click")
     place = src % 5
     return (
-        _base(spark, sf_dir)
+        _with_touches(_base(spark, sf_dir))
         .withColumn(
             "event_type",
             F.when(F.col("raw_type").isin("view", "signup"), "impression")
@@ -66,9 +92,9 @@ def ad_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             _name("advertiser_", k % 10).alias("advertiser_id"),
             F.when(src % 20 < 12, "mobile").when(src % 20 < 19, "desktop").otherwise("tablet").alias("device_type"),
             _pick(src % 4, "banner", "video", "native", "popup").alias("ad_format"),
-            _pick(place, "US", "GB", "DE", "JP", "CN").alias("country"),
-            _pick(place, "CA", "England", "Bavaria", "Tokyo", "Shanghai").alias("region"),
-            _pick(place, "Los Angeles", "London", "Munich", "Tokyo", "Shanghai").alias("city"),
+            _name("country_", place).alias("country"),
+            _name("region_", place).alias("region"),
+            _name("city_", place).alias("city"),
             bid.alias("bid_price_usd"),
             F.when(src % 20 < 17, (F.col("amount") * F.lit(0.008).cast("decimal(4,3)")).cast(MONEY)).alias("win_price_usd"),
             F.when(kind == "click", (F.col("amount") * F.lit(0.02).cast("decimal(2,2)")).cast(MONEY))

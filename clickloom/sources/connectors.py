@@ -96,10 +96,10 @@ def write_stream(events: DataFrame, config: Mapping, checkpoint: str) -> DataStr
     if kind == "kinesis":
         return (stream_records(events).writeStream.format(config.get("format", "kinesis")).outputMode("append")
                 .options(**_stream_options(config)).option("checkpointLocation", checkpoint))
-    from clickloom.operators.layout import upsert_silver
+    from clickloom.operators.layout import upsert_keyed
 
     path = config["file_path"]
-    return (events.writeStream.foreachBatch(lambda batch, _: upsert_silver(batch, path))
+    return (events.writeStream.foreachBatch(lambda batch, batch_id: upsert_keyed(batch, path, batch_id))
             .option("checkpointLocation", checkpoint))
 
 

@@ -10,8 +10,8 @@ from clickloom.sources.silver import since
 
 
 def put_points(points: DataFrame, path: str) -> None:
-    """Append points; absent fields get their defaults (gauge, no dimensions, count)."""
-    defaults = {"metric_type": F.lit("gauge"), "dimensions": F.create_map().cast("map<string,string>"), "unit": F.lit("count")}
+    """Append points; absent fields get their defaults (point 0, gauge, no dimensions, count)."""
+    defaults = {"point_id": F.lit(0).cast("bigint"), "metric_type": F.lit("gauge"), "dimensions": F.create_map().cast("map<string,string>"), "unit": F.lit("count")}
     filled = points.select(*[
         F.coalesce(F.col(f.name), defaults[f.name]).alias(f.name) if f.name in points.columns and f.name in defaults
         else (F.col(f.name) if f.name in points.columns else defaults[f.name].alias(f.name))

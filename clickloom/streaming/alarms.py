@@ -26,14 +26,17 @@ def process_points(points: DataFrame, root: str, batch_id: int, rules=DEFAULT_RU
     before = (spark.read.schema(_STATE).parquet(f"{root}/states/batch={batch_id - 1}") if batch_id
               else spark.createDataFrame([], _STATE))
     judged = evaluate(points, rules_table(spark, rules))
-    changes = state_changes(judged, before)
+    known = before.select("alert_name", F.col("timestamp").alias("_known_at"))
+    current = judged.join(known, "alert_name", "left").where(
+        F.col("_known_at").isNull() | (F.col("timestamp") >= F.col("_known_at"))).drop("_known_at")  # a late point changes no state
+    changes = state_changes(current, before)
     changes.write.mode("overwrite").parquet(f"{root}/changes/batch={batch_id}")
 
     alarm = F.col("state") == "ALARM"
-    newest = judged.groupBy("alert_name").agg(
-        F.max(F.struct("timestamp", "point_id", "state")).alias("_now"), F.count_if(alarm).alias("_triggers"),
-        F.max(F.when(alarm, F.col("timestamp"))).alias("_triggered"))
-    merged = before.join(newest, "alert_name", "full_outer").select(
+    newest = current.groupBy("alert_name").agg(F.max(F.struct("timestamp", "point_id", "state")).alias("_now"))
+    triggers = judged.groupBy("alert_name").agg(
+        F.count_if(alarm).alias("_triggers"), F.max(F.when(alarm, F.col("timestamp"))).alias("_triggered"))
+    merged = before.join(newest, "alert_name", "full_outer").join(triggers, "alert_name", "full_outer").select(
         "alert_name",
         F.coalesce("_now.state", "state").alias("state"),
         F.coalesce("_now.timestamp", "timestamp").alias("timestamp"),

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickloom.operators.attribution import CONVERSION_GAP_MS, CONVERSION_KEYS, last_touch
 from clickloom.sources.silver import since
-from clickloom.streaming.ingest import Tables
+from clickloom.streaming.ingest import Tables, _make_folder, silver_schema
 
 
 def attribute_batch(batch: DataFrame, tables: Tables, path: str, batch_id: int, later: str = "conversion",
@@ -28,7 +28,8 @@ def attribute_batch(batch: DataFrame, tables: Tables, path: str, batch_id: int,
 
 
 def start_attribution(spark: SparkSession, tables: Tables, path: str, trigger: Mapping | None = None, **link) -> StreamingQuery:
-    schema = spark.read.parquet(tables.silver).schema
+    _make_folder(spark, tables.silver)
+    schema = silver_schema(spark)
     return (
         spark.readStream.schema(schema).parquet(tables.silver)
         .writeStream.queryName("attribution")

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.functions.clock import BUCKET_PATTERNS, event_time
 from clickloom.functions.money import revenue
 from clickloom.operators.campaigns import campaign_metrics_bucketed, campaign_metrics_today, type_counts
-from clickloom.streaming.ingest import Tables
+from clickloom.streaming.ingest import Tables, _make_folder, silver_schema
 
 
 def _windowed(events: DataFrame, length: str, *keys: str) -> DataFrame:
@@ -36,21 +36,52 @@ def sliding_hour(events: DataFrame, every: str = "5 minutes") -> DataFrame:
     return grouped.select(F.col("window.end").alias("as_of"), "events", "revenue")
 
 
-def start_gold(spark: SparkSession, tables: Tables, *, lateness: str = "1 hour", trigger: Mapping | None = None) -> list[StreamingQuery]:
-    """Append closed windows. Rows later than ``lateness`` are in silver only, until ``refresh_gold`` runs for their day."""
+_SUMS = ("events", "impressions", "clicks", "conversions", "revenue")
+
+
+def start_gold(spark: SparkSession, tables: Tables, *, trigger: Mapping | None = None) -> list[StreamingQuery]:
+    """Keep minute and campaign-hour counters as partial sums: one folder per micro-batch, summed when read.
+
+    The counters are additive, so no window is ever closed and no event is late; a repeated batch replaces its own folder.
+    """
     how = dict(trigger or {"processingTime": "1 minute"})
-    schema = spark.read.parquet(tables.silver).schema
-    queries = []
+    _make_folder(spark, tables.silver)
+    schema, queries = silver_schema(spark), []
     for name, path, build in (("minutes", tables.minutes, minute_windows),
                               ("campaign_hours", tables.campaign_hours, campaign_hour_windows)):
-        silver = spark.readStream.schema(schema).parquet(tables.silver)
-        timed = silver.withColumn("event_ts", event_time()).withWatermark("event_ts", lateness)
+        def add(batch: DataFrame, batch_id: int, path=path, build=build) -> None:
+            build(batch.withColumn("event_ts", event_time())).write.mode("overwrite").parquet(f"{path}/partial/batch={batch_id}")
+
         queries.append(
-            build(timed).writeStream.queryName(name).format("parquet").outputMode("append").partitionBy("event_date")
-            .option("path", path).option("checkpointLocation", tables.checkpoint(name)).trigger(**how).start())
+            spark.readStream.schema(schema).parquet(tables.silver).writeStream.queryName(name).foreachBatch(add)
+            .option("checkpointLocation", tables.checkpoint(name)).trigger(**how).start())
     return queries
 
 
+def _compacted_to(spark: SparkSession, path: str) -> int | None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/whole/upto=*/_SUCCESS")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder)
+    return max((int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found or []), default=None)
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """The counters so far: the newest compacted sums plus the partial sums of later batches."""
+    partial = spark.read.parquet(f"{path}/partial")
+    upto = _compacted_to(spark, path)
+    if upto is not None:
+        whole = spark.read.parquet(f"{path}/whole/upto={upto}")
+        partial = partial.where(F.col("batch") > upto).drop("batch").unionByName(whole)
+    keys = [c for c in partial.columns if c not in (*_SUMS, "batch")]
+    return partial.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
+
+
+def compact_gold(spark: SparkSession, path: str) -> int:
+    """Sum all batches so far into one folder and return the last of them. Old folders may then be deleted."""
+    upto = spark.read.parquet(f"{path}/partial").agg(F.max("batch")).first()[0]
+    read_gold(spark, path).write.mode("overwrite").parquet(f"{path}/whole/upto={upto}")
+    return upto
+
+
 def refresh_gold(spark: SparkSession, tables: Tables, target: Tables, first_day: str, last_day: str) -> None:
     """Recompute whole days from silver into ``target``, replacing just those days' partitions."""
     days = F.col("event_date").between(F.lit(first_day).cast("date"), F.lit(last_day).cast("date"))

@@ -1,7 +1,8 @@
 """Lines to silver: parse, quarantine, identify, deduplicate, enrich, append.
 
-Two queries share a source. One appends silver through the file sink's own commit log; the other writes, per micro-batch,
-the quarantined lines and a summary row into a folder of that batch, so that a replayed batch replaces its own output.
+Lines are parsed once, into a bronze table that also holds when a line was seen and whether it is usable: one decision per
+line, with one clock. Silver and the side tables read bronze. Ids are remembered by the time they were first seen, so no
+event is late, whatever its own time says, and a line is in silver, in quarantine, or a copy of a line in silver.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.functions.clock import event_date, event_time
+from clickloom.functions.clock import event_date
+from clickloom.functions.identity import event_key
 from clickloom.functions.money import revenue
 from clickloom.operators.dedup import dedup, drop_seen
-from clickloom.operators.enrich import enrich, identified
-from clickloom.operators.parsing import parse_lines, quarantined, usable
-from clickloom.schema import DAY_MS, DEDUP_TTL_MS
+from clickloom.operators.enrich import enrich
+from clickloom.operators.parsing import parse_lines, quarantine_reason
+from clickloom.schema import DAY_MS, DEDUP_TTL_MS, RAW_EVENT
 from clickloom.sources.connectors import stream_lines
 
 
@@ -27,6 +29,10 @@ class Tables:
 
     root: str
 
+    @property
+    def bronze(self) -> str:
+        return f"{self.root}/bronze"
+
     @property
     def silver(self) -> str:
         return f"{self.root}/silver"
@@ -52,71 +58,122 @@ class Tables:
 
 
 def horizon(allowed_ahead_ms: int) -> Column:
-    """Latest acceptable event time. One row far in the future would otherwise push the watermark past all others."""
+    """Latest acceptable event time."""
     return F.unix_millis(F.current_timestamp()) + allowed_ahead_ms
 
 
-def drop_duplicates(events: DataFrame, ttl: str = "7 days", copy_salts: int = 0) -> DataFrame:
-    """Keep the first copy of an id; ids are remembered until the watermark is ``ttl`` past them.
+def parse_once(lines: DataFrame, allowed_ahead_ms: int = 8 * DAY_MS) -> DataFrame:
+    """Bronze: the event's fields, line_class, reason (why it is quarantined), raw_line of quarantined lines, and seen_at."""
+    reason = quarantine_reason(horizon(allowed_ahead_ms))
+    return parse_lines(lines).withColumn("reason", reason).select(
+        *RAW_EVENT.names, "line_class", "reason", F.when(F.col("reason").isNotNull(), F.col("raw_line")).alias("raw_line"),
+        F.current_timestamp().alias("seen_at"))
+
+
+def _sound(bronze: DataFrame) -> DataFrame:
+    return bronze.where((F.col("line_class") == "event") & F.col("reason").isNull())
 
-    ``copy_salts`` adds a first pass per (id, input partition): it costs a second state store, and is for feeds in
-    which one id makes up a large part of a micro-batch.
+
+def drop_duplicates(events: DataFrame, ttl_ms: int = DEDUP_TTL_MS, copy_salts: int = 0) -> DataFrame:
+    """Keep the first copy of an id for ``ttl_ms`` after it was first seen (``seen_at``, a processing time).
+
+    The state of an id goes when the watermark, half a time to live behind the newest arrival, is another half past its
+    first sight. Arrivals are never behind the watermark. ``copy_salts`` adds a first pass per (id, input partition): it costs a
+    second state store, and is for feeds in which one id makes up a large part of a micro-batch.
     """
-    timed = events.withColumn("event_ts", event_time()).withWatermark("event_ts", ttl)
+    timed = events.withWatermark("seen_at", f"{ttl_ms // 2} milliseconds")
     if copy_salts:
         salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(copy_salts)))
         timed = salted.dropDuplicatesWithinWatermark(["event_id", "_salt"]).drop("_salt")
     return timed.dropDuplicatesWithinWatermark(["event_id"])
 
 
-def silver_stream(lines: DataFrame, ttl: str = "7 days", allowed_ahead_ms: int = 8 * DAY_MS, copy_salts: int = 0) -> DataFrame:
-    """Enriched, duplicate-free events. Clicks and conversions may be dated up to a week ahead of their arrival."""
-    events = enrich(usable(parse_lines(lines), horizon(allowed_ahead_ms)))
-    return drop_duplicates(events, ttl, copy_salts).drop("event_ts").withColumn("event_date", event_date())
+def silver_stream(bronze: DataFrame, ttl_ms: int = DEDUP_TTL_MS, copy_salts: int = 0) -> DataFrame:
+    """Enriched, duplicate-free events of a bronze stream."""
+    events = enrich(_sound(bronze), extra=("seen_at",))
+    return drop_duplicates(events, ttl_ms, copy_salts).drop("seen_at").withColumn("event_date", event_date())
+
 
+def silver_schema(spark: SparkSession):
+    """The fixed schema of the silver table."""
+    bronze = parse_once(spark.createDataFrame([], "value string"))
+    return enrich(_sound(bronze)).withColumn("event_date", event_date()).schema
 
-def summarize(parsed: DataFrame, batch_id: int, at: Column) -> DataFrame:
-    """One metrics row for a batch of parsed lines."""
-    is_event = (F.col("line_class") == "event") & F.col("timestamp").isNotNull()
-    kind = F.col("event_type")
-    return parsed.agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count_if(is_event).alias("events_received"),
-        F.count_if(F.col("line_class") == "malformed").alias("events_errors"),
-        F.count_if(is_event & (kind == "impression")).alias("impressions"),
-        F.count_if(is_event & (kind == "click")).alias("clicks"),
-        F.count_if(is_event & (kind == "conversion")).alias("conversions"),
-        F.coalesce(F.sum(F.when(is_event, revenue())), F.lit(0)).cast("decimal(38,4)").alias("revenue"),
-        F.count_distinct("campaign_id").alias("unique_campaigns"),
-        F.count_distinct("user_id").alias("unique_users"),
-    ).select(F.lit(batch_id).cast("bigint").alias("batch"), F.unix_millis(at).alias("timestamp"), "*")
 
+def summarize(bronze: DataFrame, batch_id: int, at: Column) -> DataFrame:
+    """The processing record of one batch: counts, rates, latency, memory estimate and revenue.
 
-def start_ingest(spark: SparkSession, source: Mapping, tables: Tables, *, ttl: str = "7 days",
+    ``processed`` counts distinct events of the batch, ``deduped`` its further copies; ``duration`` is the time in seconds from the
+    first line seen to ``at``. Rates are fractions; money is in dollars.
+    """
+    sound = (F.col("line_class") == "event") & F.col("reason").isNull()
+    kind, at_ms = F.col("event_type"), F.unix_millis(at)
+
+    def count(condition: Column) -> Column:
+        return F.count_if(sound & condition)
+    totals = bronze.agg(
+        F.count(F.lit(1)).alias("lines"), F.count_if(sound).alias("_received"),
+        F.count_distinct(F.when(sound, event_key())).alias("processed"),
+        F.count_if(F.col("line_class") == "malformed").alias("errors"), F.count_if(F.col("reason").isNotNull()).alias("quarantined"),
+        F.coalesce(F.sum(F.when(sound, revenue())), F.lit(0)).cast("decimal(38,4)").alias("revenue"),
+        F.max(F.when(sound, F.col("timestamp"))).alias("last_timestamp"),
+        ((at_ms - F.min(F.unix_millis("seen_at"))) / 1000).alias("duration"),
+        F.coalesce(at_ms - F.avg(F.unix_millis("seen_at")), F.lit(0.0)).alias("avg_processing_latency_ms"),
+        count(kind == "impression").alias("impressions_processed"), count(kind == "click").alias("clicks_processed"),
+        count(kind == "conversion").alias("conversions_processed"),
+        F.count_distinct(F.when(sound, F.col("campaign_id"))).alias("unique_campaigns"),
+        F.count_distinct(F.when(sound, F.col("user_id"))).alias("unique_users"))
+    processed = F.col("processed").cast("double")
+    return totals.select(
+        F.lit(batch_id).cast("bigint").alias("batch"), at_ms.alias("timestamp"), "lines", "quarantined", "processed", "errors",
+        (F.col("_received") - F.col("processed")).alias("deduped"), F.coalesce("duration", F.lit(0.0)).alias("duration"), "revenue", "last_timestamp",
+        F.col("processed").alias("events_processed"),
+        (processed / F.greatest(F.coalesce("duration", F.lit(0.0)), F.lit(0.001))).alias("events_per_second"),
+        ((F.col("_received") - F.col("processed")) / F.greatest(processed, F.lit(1.0))).alias("deduplication_rate"),
+        (F.col("errors") / F.greatest(processed + F.col("errors"), F.lit(1.0))).alias("error_rate"),
+        "avg_processing_latency_ms", (processed * 32 / (1 << 20)).alias("memory_usage_mb"),
+        "impressions_processed", "clicks_processed", "conversions_processed", F.col("revenue").cast("double").alias("revenue_processed_usd"),
+        "unique_campaigns", "unique_users")
+
+
+def start_ingest(spark: SparkSession, source: Mapping, tables: Tables, *, ttl_ms: int = DEDUP_TTL_MS,
                  allowed_ahead_ms: int = 8 * DAY_MS, copy_salts: int = 0, trigger: Mapping | None = None) -> list[StreamingQuery]:
-    """Start both queries. ``trigger`` is passed on, e.g. ``{"availableNow": True}``."""
+    """Start bronze, silver and the side tables. ``trigger`` is passed on; with ``{"availableNow": True}`` bronze ends first."""
     how = dict(trigger or {"processingTime": "10 seconds"})
+    parsed = parse_once(stream_lines(spark, source), allowed_ahead_ms)
+    _make_folder(spark, tables.bronze)
+    bronze = (
+        parsed.writeStream.queryName("bronze").format("parquet").outputMode("append")
+        .option("path", tables.bronze).option("checkpointLocation", tables.checkpoint("bronze")).trigger(**how).start()
+    )
+    if how.get("availableNow") or how.get("once"):
+        bronze.awaitTermination()
+    schema = parsed.schema
     silver = (
-        silver_stream(stream_lines(spark, source), ttl, allowed_ahead_ms, copy_salts)
+        silver_stream(spark.readStream.schema(schema).parquet(tables.bronze), ttl_ms, copy_salts)
         .writeStream.queryName("silver").format("parquet").outputMode("append").partitionBy("event_date")
         .option("path", tables.silver).option("checkpointLocation", tables.checkpoint("silver"))
         .trigger(**how).start()
     )
 
-    def side_tables(parsed: DataFrame, batch_id: int) -> None:
-        parsed.persist()
-        quarantined(parsed, horizon(allowed_ahead_ms)).write.mode("overwrite").parquet(f"{tables.quarantine}/batch={batch_id}")
-        summary = summarize(parsed, batch_id, F.current_timestamp()).drop("batch")
-        summary.write.mode("overwrite").parquet(f"{tables.summaries}/batch={batch_id}")
-        parsed.unpersist()
+    def side_tables(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        batch.where("reason IS NOT NULL").select("raw_line", "reason").write.mode("overwrite").parquet(f"{tables.quarantine}/batch={batch_id}")
+        summarize(batch, batch_id, F.current_timestamp()).drop("batch").write.mode("overwrite").parquet(f"{tables.summaries}/batch={batch_id}")
+        batch.unpersist()
 
     side = (
-        parse_lines(stream_lines(spark, source))
+        spark.readStream.schema(schema).parquet(tables.bronze)
         .writeStream.queryName("side_tables").foreachBatch(side_tables)
         .option("checkpointLocation", tables.checkpoint("side_tables"))
         .trigger(**how).start()
     )
-    return [silver, side]
+    return [bronze, silver, side]
+
+
+def _make_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
 def ingest_batch(events: DataFrame, path: str, batch_id: int) -> DataFrame:
@@ -165,8 +222,3 @@ def progress_metrics(query: StreamingQuery) -> list[dict]:
          "batch_ms": p["batchDuration"] if "batchDuration" in p else p["durationMs"]["triggerExecution"]}
         for p in query.recentProgress
     ]
-
-
-def identified_events(lines: DataFrame) -> DataFrame:
-    """Batch counterpart of the stream up to deduplication, for back-fills."""
-    return identified(usable(parse_lines(lines)))

@@ -113,6 +113,9 @@ m AS (SELECT batch // 6 AS minute, max(last) AS "timestamp", CAST(sum(n) AS BIGI
     CAST(sum(r) AS DOUBLE) AS total_revenue FROM b GROUP BY 1)
 SELECT m.* FROM m, nowrow WHERE minute > now_ms // 60000 - 1440 AND minute <= now_ms // 60000""",
     "data_quality": ADS + _QUALITY.format(source="ev"),
-    "data_quality_sample": ADS + ', sampled AS (SELECT * FROM ev ORDER BY "timestamp", event_id LIMIT 100000)' + _QUALITY.format(source="sampled"),
+    "data_distributions": ADS + """
+SELECT 'event_type' AS dimension, event_type AS value, count(*) AS events FROM ev GROUP BY 2
+UNION ALL SELECT 'device_type', device_type, count(*) FROM ev GROUP BY 2""",
+    "data_quality_sample": ADS + ', sampled AS (SELECT * FROM ev ORDER BY "timestamp", event_id LIMIT 700)' + _QUALITY.format(source="sampled"),
     "distinct_users_exact": ADS + "SELECT campaign_id, event_type, count(DISTINCT user_id) AS unique_users FROM ev GROUP BY 1, 2",
 }

@@ -1,10 +1,19 @@
 """Common table expressions: the ad events and metric points formed from ``events``."""
 
 ADS = """
-WITH base AS (
+WITH plain AS (
   SELECT event_id AS src_id, epoch_us(ts) // 1000 AS "timestamp", user_id AS uid, event_type AS raw_type,
          CAST(value AS DECIMAL(18,2)) AS amount, CAST(json_extract(props, '$.k') AS INTEGER) AS k
   FROM events
+), gaps(raw, part, nth, gap) AS (VALUES
+  ('click', 0, 1, 999), ('click', 1, 1, 1000), ('click', 2, 1, 60000), ('click', 2, 2, 60000), ('click', 3, 1, 300000), ('click', 4, 1, 300001),
+  ('purchase', 0, 1, 359999), ('purchase', 1, 1, 360000), ('purchase', 2, 1, 86400000), ('purchase', 2, 2, 86400000),
+  ('purchase', 3, 1, 604800000), ('purchase', 4, 1, 604800001)
+), base AS (
+  SELECT * FROM plain
+  UNION ALL
+  SELECT src_id + nth * 1000000000::BIGINT, "timestamp" - gap, uid, CASE raw_type WHEN 'click' THEN 'view' ELSE 'click' END, amount, k
+  FROM plain JOIN gaps ON raw_type = raw AND src_id % 5 = part WHERE raw_type = 'click' OR src_id % 2 = 0
 ), typed AS (
   SELECT *, CASE raw_type WHEN 'view' THEN 'impression' WHEN 'signup' THEN 'impression' WHEN 'click' THEN 'click'
                           WHEN 'purchase' THEN 'conversion' ELSE 'unknown' END AS event_type
@@ -19,9 +28,7 @@ WITH base AS (
     'advertiser_' || (k % 10) AS advertiser_id,
     CASE WHEN src_id % 20 < 12 THEN 'mobile' WHEN src_id % 20 < 19 THEN 'desktop' ELSE 'tablet' END AS device_type,
     CASE src_id % 4 WHEN 0 THEN 'banner' WHEN 1 THEN 'video' WHEN 2 THEN 'native' ELSE 'popup' END AS ad_format,
-    CASE src_id % 5 WHEN 0 THEN 'US' WHEN 1 THEN 'GB' WHEN 2 THEN 'DE' WHEN 3 THEN 'JP' ELSE 'CN' END AS country,
-    CASE src_id % 5 WHEN 0 THEN 'CA' WHEN 1 THEN 'England' WHEN 2 THEN 'Bavaria' WHEN 3 THEN 'Tokyo' ELSE 'Shanghai' END AS region,
-    CASE src_id % 5 WHEN 0 THEN 'Los Angeles' WHEN 1 THEN 'London' WHEN 2 THEN 'Munich' WHEN 3 THEN 'Tokyo' ELSE 'Shanghai' END AS city,
+    'country_' || (src_id % 5) AS country, 'region_' || (src_id % 5) AS region, 'city_' || (src_id % 5) AS city,
     CAST(amount * 0.01 AS DECIMAL(18,4)) AS bid_price_usd,
     CASE WHEN src_id % 20 < 17 THEN CAST(amount * 0.008 AS DECIMAL(18,4)) END AS win_price_usd,
     CASE event_type WHEN 'click' THEN CAST(amount * 0.02 AS DECIMAL(18,4))

@@ -30,7 +30,7 @@ SELECT event_id, event_type, "timestamp", user_id, campaign_id, advertiser_id, d
   CAST("timestamp" // 3600000 % 24 AS INTEGER) AS hour_of_day
 FROM ev""",
     "dedup_events": ADS + 'SELECT event_id, event_type, "timestamp", user_id, campaign_id FROM ev',
-    "dedup_ttl": REPLAYED.replace("WITH base", "WITH RECURSIVE base", 1) + """
+    "dedup_ttl": REPLAYED.replace("WITH plain", "WITH RECURSIVE plain", 1) + """
 , seen AS (
   SELECT event_id, "timestamp", min(event_type) AS event_type, min(campaign_id) AS campaign_id
   FROM replayed WHERE event_id IS NOT NULL GROUP BY 1, 2
@@ -85,7 +85,7 @@ SELECT event_type AS feed, src_id, ingest_seq, "timestamp",
   CAST(revenue_usd AS DOUBLE) AS revenue_usd,
   CASE WHEN event_type = 'click' THEN engagement_duration_ms END AS engagement_duration_ms,
   CAST(conversion_value_usd AS DOUBLE) AS conversion_value_usd
-FROM ads WHERE event_type <> 'unknown'""",
+FROM ads""",
     "ingest_summary": REPLAYED + """
 , d AS (SELECT *, CAST(make_timestamp("timestamp" * 1000) AS DATE) AS batch_date FROM replayed),
 firsts AS (SELECT * FROM d WHERE event_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY "timestamp", ingest_seq) = 1),

@@ -44,22 +44,22 @@ def test_stream_records_are_keyed_by_user_then_event(spark):
 def test_upsert_replaces_rows_of_touched_days_only(spark, tmp_path, sf_dir):
     path = str(tmp_path / "silver")
     events = dedup(received(spark, sf_dir)).select("event_id", "timestamp", "campaign_id", "user_id")
-    layout.write_silver(events, path, 2)
-    before = spark.read.parquet(path)
-    total = before.count()
+    layout.upsert_keyed(events, path, 0)
+    total = spark.read.parquet(path).count()
     assert total == events.count()
-    changed = events.where("event_id like 'evt_1%'").withColumn("campaign_id", F.lit("moved"))
+    changed = events.where("event_id like 'evt_1%'").withColumn("user_id", F.lit("moved"))
     fresh = changed.unionByName(spark.createDataFrame([("brand_new", 1704067200000, "c", "u")], changed.schema))
-    layout.upsert_silver(fresh, path)
+    for _ in range(2):
+        layout.upsert_keyed(fresh, path, 1)
     after = spark.read.parquet(path)
     assert after.count() == total + 1
-    assert after.where("campaign_id = 'moved'").count() == changed.count()
+    assert after.where("user_id = 'moved'").count() == changed.count()
 
 
 def test_keyed_sink_through_a_stream(spark, tmp_path, sf_dir):
     path, source = str(tmp_path / "keyed"), str(tmp_path / "in")
     events = dedup(received(spark, sf_dir)).select("event_id", "timestamp", "campaign_id", "user_id")
-    layout.write_silver(events.where("event_id < 'evt_5'"), path, 2)
+    layout.upsert_keyed(events.where("event_id < 'evt_5'"), path, -1)
     events.write.parquet(source)
     stream = spark.readStream.schema(events.schema).parquet(source)
     q = co.write_stream(stream, {"type": "DynamoDB", "file_path": path}, str(tmp_path / "cp")).trigger(availableNow=True).start()
