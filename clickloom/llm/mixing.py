@@ -219,8 +219,9 @@ def mix(docs: DataFrame, seed: int = 0, shard_words: int = SHARD_WORDS, block_wo
     """The mixed documents themselves (their own columns), copies repeated, in the order of shards and places."""
     rows = narrow(docs.select("doc_id", "source", "text"), seed)
     sources = plan(rows, block_words)
-    drawn = draw(docs.withColumn("u", _place(seed)), sources, shard_count(sources, shard_words), seed)
-    return drawn.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select(*[f"`{c}`" for c in docs.columns])
+    whole = docs.select("source", _place(seed).alias("u"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    drawn = draw(whole, sources, shard_count(sources, shard_words), seed).select("shard", "place", "_doc")
+    return drawn.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("_doc.*")
 
 
 def op10_mixing(spark, sf_dir) -> DataFrame:

@@ -64,7 +64,7 @@ def judge(docs: DataFrame) -> DataFrame:
 
     A null text has no words and fails the base rules, as does an empty one. Lines are parted by \\n alone. Windows of words are
     compared by 64-bit hashes of their words' hashes. Rows are judged alone, so ties, copies, nulls in other columns and extra
-    columns do not matter (working columns start with ``_q_``); an empty table gives no rows.
+    columns do not matter; a column with the name of a figure is replaced; an empty table gives no rows.
     """
     text = F.coalesce("text", F.lit(""))
     lines = F.transform(F.split(text, "\n"), lambda line: F.struct(
@@ -110,9 +110,10 @@ def clean(docs: DataFrame) -> DataFrame:
 
     The row number keeps the optimizer from copying the whole judgement into the filter, where it would run again.
     """
-    judged = judge(docs).withColumn("_q_row", F.monotonically_increasing_id()).where(F.col("kept") & (F.col("_q_row") >= 0))
-    changed = {"text": F.col("cleaned")} | ({"n_chars": F.length("cleaned").cast("long")} if "n_chars" in docs.columns else {})
-    return judged.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_rest"))
+    judged = judge(rows).withColumn("_row", F.monotonically_increasing_id()).where(F.col("kept") & (F.col("_row") >= 0))
+    changed = {"text": F.col("cleaned"), "n_chars": F.length("cleaned").cast("long")}
+    return judged.select(*[changed[c].alias(c) if c in changed else F.col(f"_rest.`{c}`") for c in docs.columns])
 
 
 def op8_quality_rules(spark, sf_dir) -> DataFrame:
