@@ -229,7 +229,7 @@ def test_gold_equals_batch(spark, tmp_path, sf_dir):
     silver = spark.read.parquet(tables.silver).withColumn("event_ts", F.timestamp_millis("timestamp"))
     expected = {r.window_start: (r.events, r.revenue) for r in minute_windows(silver).collect()}
     assert {r.window_start: (r.events, r.revenue) for r in read_gold(spark, tables.minutes).collect()} == expected
-    refresh_gold(spark, tables, exact, "2024-01-01", "2024-01-31")
+    refresh_gold(spark, tables, exact, "2023-12-01", "2024-01-31")
     assert {r.window_start: (r.events, r.revenue) for r in spark.read.parquet(exact.minutes).collect()} == expected
     hours = spark.read.parquet(exact.campaign_hours)
     counters = campaigns.campaign_hourly(events)
