@@ -110,9 +110,10 @@ def search(classes: DataFrame, graphs: DataFrame) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = fs.FileSystem.from_uri(base)
-        rows = pa.Table.from_batches(list(batches))  # a task's share of the vectors
-        if not rows.num_rows:
+        held = [batch for batch in batches if batch.num_rows]
+        if not held:
             return
+        rows = pa.Table.from_batches(held)  # a task's share of the vectors
         dims = rows.column("dim").to_numpy()
         for dim in np.unique(dims).tolist():
             own = rows.filter(pa.array(dims == dim)).combine_chunks()

@@ -89,7 +89,7 @@ def test_groups_equal_brute_force(spark):
 def test_large_group_around_a_hub(spark):
     """Copies that are alike only through the original, and a bucket with several components in blocks."""
     base = prose(30, 120)
-    rows = [(k, edited(base, k, 2) if k else base, "", "", 0, 0, "", "", 0, "") for k in range(120)]
+    rows = [(k, edited(base, k) if k else base, "", "", 0, 0, "", "", 0, "") for k in range(120)]
     got = near_groups(frame(spark, rows)).collect()
     want = brute_groups(rows)
     assert {r.doc_id: r.group_id for r in got} == dict(zip(range(120), want)) and len(set(want)) < 20
