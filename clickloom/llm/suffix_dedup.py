@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.llm.common import ship_code, table, written
+from clickloom.llm.common import partitions, ship_code, table, written
 from clickloom.llm.suffix_sort import closest_matches, deep_shallow
 from clickloom.llm.words import RUN_BYTES, Prefix, mix, runs, string_parts
 
@@ -180,35 +180,78 @@ def _by_sorting(bodies: DataFrame, length: int, gram: int) -> DataFrame:
     return ordered.mapInArrow(work, "anchor long, content long, first int, last int")
 
 
+def _dealt(rows: np.ndarray, key: np.ndarray, buckets: int, names: list[str]) -> pa.RecordBatch:
+    """Columns of numbers as one row per bucket of the key, with the numbers in lists: a shuffle of few rows."""
+    bucket = (key.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, rows = bucket[order], rows[:, order]
+    at = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
+    cut = pa.array(np.append(at, len(bucket)), pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[at]), *[pa.ListArray.from_arrays(cut, pa.array(column)) for column in rows]], ["bucket", *names])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], columns: int) -> np.ndarray:
+    """All numbers of a task's rows, as made by ``_dealt``."""
+    parts = [np.stack([batch.column(k + 1).flatten().to_numpy() for k in range(columns)]) for batch in batches if batch.num_rows]
+    return np.concatenate(parts, axis=1) if parts else np.zeros((columns, 0), np.int64)
+
+
 def _by_windows(bodies: DataFrame, length: int) -> DataFrame:
-    """As ``_by_sorting``, for anchors with very many classes: every window by itself, by two hashes of its bytes."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """As ``_by_sorting``, for anchors with very many classes: every window by itself, by two hashes of its bytes.
+
+    Windows are dealt to tasks by hash, those that repeat then by class, where they join to runs.
+    """
+    buckets = partitions(bodies.sparkSession)
+    window, place = ["h1", "h2", "anchor", "content", "nth"], ["anchor", "content", "nth"]
+
+    def schema(names: list[str]) -> str:
+        return ", ".join(["bucket long", *[f"{n} array<long>" for n in names]])
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lead, windows = batch.column(3).to_numpy().astype(np.int64), batch.column(2).to_numpy().astype(np.int64)
+            anchor, content = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            windows = batch.column(2).to_numpy().astype(np.int64)
             data, offsets = string_parts(batch.column(4))
-            for lo in range(0, batch.num_rows, 512):
-                hi = min(lo + 512, batch.num_rows)
+            for lo in range(0, batch.num_rows, 2048):
+                hi = min(lo + 2048, batch.num_rows)
                 part = data[offsets[lo]:offsets[hi]]
                 row = np.repeat(np.arange(lo, hi), windows[lo:hi])
                 nth = np.arange(len(row)) - np.repeat(np.cumsum(windows[lo:hi]) - windows[lo:hi], windows[lo:hi])
                 at = offsets[row] - offsets[lo] + nth
-                one = Prefix(part).spans(at, at + length)
-                two = Prefix(part ^ 0x5A).spans(at, at + length)
-                own = pa.array(row)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(0).take(own), batch.column(1).take(own), pa.array(nth.astype(np.int32)), pa.array((nth - lead[row]).astype(np.int32)),
-                    pa.array(one.view(np.int64)), pa.array(mix(two).view(np.int64))], ["anchor", "content", "nth", "shift", "h1", "h2"])
-
-    once = bodies.dropDuplicates(["anchor", "content"])
-    windows = written(once.mapInArrow(work, "anchor long, content long, nth int, shift int, h1 long, h2 long"), "hot-windows")
-    again = windows.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2")
-    return windows.join(again, ["h1", "h2"]).select("anchor", "content", F.col("nth").alias("first"), F.col("nth").alias("last"))
-
-
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(documents with t1, t2 and text, spans by text): spans is (t1, t2, spans array<struct<a, b>>), bytes [a, b) of repeated strings."""
+                one = Prefix(part).spans(at, at + length).view(np.int64)
+                two = mix(Prefix(part ^ 0x5A).spans(at, at + length)).view(np.int64)
+                yield _dealt(np.stack([one, two, anchor[row], content[row], nth]), one, buckets, window)
+
+    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _gathered(batches, len(window))
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        same = (rows[0, 1:] == rows[0, :-1]) & (rows[1, 1:] == rows[1, :-1])
+        again = np.append(False, same) | np.append(same, False) if rows.shape[1] else np.zeros(0, bool)
+        yield _dealt(rows[2:, again], rows[3, again], buckets, place)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = _gathered(batches, len(place))
+        anchor, content, nth = rows[:, np.lexsort((rows[2], rows[1], rows[0]))]
+        first = np.ones(len(nth), bool)
+        first[1:] = (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1]) | (nth[1:] > nth[:-1] + 1)
+        at = np.flatnonzero(first)
+        end = np.append(at[1:] - 1, len(nth) - 1)[:len(at)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(anchor[at]), pa.array(content[at]), pa.array(nth[at], pa.int32()), pa.array(nth[end], pa.int32())], ["anchor", "content", "first", "last"])
+
+    spread = bodies.dropDuplicates(["anchor", "content"]).mapInArrow(hashed, schema(window)).repartition(buckets, "bucket")
+    found = spread.mapInArrow(repeated, schema(place)).repartition(buckets, "bucket")
+    return found.mapInArrow(joined, "anchor long, content long, first int, last int")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, nulls: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(documents with t1, t2 and text, spans by text): spans is (t1, t2, spans array<struct<a, b>>), bytes [a, b) of repeated strings.
+
+    Null texts become empty unless ``nulls`` leaves them.
+    """
     ship_code(docs.sparkSession)
-    keyed = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumns(
+    keyed = (docs if nulls else docs.withColumn("text", F.coalesce("text", F.lit("")))).withColumns(
         {"t1": F.xxhash64(F.lit(1), "text"), "t2": F.xxhash64(F.lit(2), "text")})
     found = written(find_passages(keyed, length, gram), "passages")
     again = found.groupBy("anchor").count().where("count > 1").select("anchor")
@@ -282,21 +325,21 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     Documents of which nothing is left, but which had text, are dropped.
     """
-    keyed, spans = repeated_spans(docs, length)
-    columns = [c for c in docs.columns if c != "text"]
-    row = keyed.join(spans, ["t1", "t2"], "left")
+    others = [c for c in docs.columns if c != "text"]
+    rest = F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest")
+    keyed, spans = repeated_spans(docs.select("doc_id", "text", rest), length, nulls=True)
+    row = keyed.join(spans, ["t1", "t2"], "left").select("text", "spans", "_rest")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = [body.decode("utf-8", "ignore") for _, _, body in _cut(batch, 0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(kept, pa.string())], [*batch.schema.names[2:], "_kept"])
-
-    fields = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
-    plain = row.where("spans IS NULL").select(*[F.col(f"`{c}`") for c in docs.columns])
-    cut = row.where("spans IS NOT NULL").select("text", "spans", *[F.col(f"`{c}`") for c in columns]).mapInArrow(work, ", ".join([*fields, "_kept string"]))
-    changed = {"text": F.col("_kept")} | ({"n_chars": F.length("_kept").cast("long")} if "n_chars" in columns else {})
-    return plain.unionByName(cut.where(F.col("_kept").rlike("[^ \t-\r]")).select(
-        *[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns]))
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), batch.column(2)], ["text", "_rest"])
+
+    cut = row.where("spans IS NOT NULL").mapInArrow(work, row.select("text", "_rest").schema).where(F.col("text").rlike("[^ \t-\r]"))
+    cut = cut.withColumn("_chars", F.length("text").cast("long"))
+    whole = row.where("spans IS NULL").select("text", "_rest", F.lit(None).cast("long").alias("_chars")).unionByName(cut)
+    changed = {"text": F.col("text"), "n_chars": F.coalesce("_chars", F.col("_rest.n_chars") if "n_chars" in others else F.lit(None))}
+    return whole.select(*[changed[c].alias(c) if c in changed else F.col(f"_rest.`{c}`") for c in docs.columns])
 
 
 def op6_suffix_dedup(spark, sf_dir) -> DataFrame:
