@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickloom.session import cut_lineage
+from clickloom.llm.common import written
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -19,19 +19,18 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: every node points to one other, which points nowhere."""
+    ends = edges.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("root")).unionByName(
+        edges.select(F.col("v").alias("id"), F.lit(0).alias("up"), F.lit(1).alias("root")))
+    nodes = ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+    return nodes.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("root") > 0))).isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id of ``links`` (columns a, b): root is the smallest id that links lead to."""
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
-    edges = cut_lineage(edges)
-    state = _state(edges)
-    while state[0]:
-        edges = cut_lineage(_star(_star(edges, True), False))
-        state, before = _state(edges), state
-        if state == before:
-            break
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    while not _settled(edges):
+        edges = written(_star(_star(edges, True), False), "edges")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("root")).unionByName(
         edges.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()
