@@ -2,8 +2,8 @@
 
 Vectors are dealt to ``shards`` by hash; each shard builds a graph and stores it in the shared folder. Every vector then queries
 every shard: a beam search gets near, and goes on through all neighbours in range. Before a block of queries is answered, a recall
-audit compares the beam with the whole shard on a sample of queries and of the shard's own vectors; the beam is doubled until the
-audit passes. Every pair is verified by cosine in double precision. Equal vectors are one node with a count. A task hands on,
+audit compares the beam with the whole shard on a sample of queries and of the shard's own vectors, query by query; the beam is doubled
+until the audit passes, and a shard that never passes is compared whole. Every pair is verified by cosine in double precision. Equal vectors are one node with a count. A task hands on,
 not its pairs, but each vector's number of links and a spanning forest of them; components of the forests are the groups.
 """
 
@@ -26,6 +26,10 @@ COSINE = 0.95
 SHARDS = 4
 BEAM = 32
 AUDITED = 48
+#: Of the queries, and of the shard's own vectors, so many are compared with the whole shard to find those to audit.
+POOL = 192
+#: Up to so many neighbours are few.
+FEW = 16
 RECALL = 0.99
 #: Single precision may put a pair below the threshold by this much; pairs are verified in double precision.
 SLACK = 1e-4
@@ -73,14 +77,55 @@ def _load(store: fs.FileSystem, path: str) -> tuple[np.ndarray, np.ndarray, np.n
     return cid, np.frombuffer(copies, "<i8"), _unit(np.frombuffer(flat, np.float64).reshape(len(cid), -1)), graph
 
 
-def audited_beam(graph: Graph, shard: np.ndarray, queries: np.ndarray, least: float, beam: int = BEAM) -> int:
-    """The beam width at which a sample of queries, and of the shard's own vectors, finds RECALL of what the whole shard holds."""
+def _planted(shard: np.ndarray, count: int, cosine: float, rng: np.random.Generator) -> np.ndarray:
+    """Vectors at the cosine from some of the shard's, in random directions."""
+    base = shard[rng.integers(0, len(shard), count)]
+    away = rng.normal(size=base.shape)
+    away -= np.einsum("pd,pd->p", away, base)[:, None] * base
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-12)
+    return _unit(cosine * base + np.sqrt(1 - cosine * cosine) * away)
+
+
+def _counts(pieces: Iterator[tuple[np.ndarray, np.ndarray]], own: np.ndarray) -> np.ndarray:
+    """How many nodes each query meets, without itself."""
+    counts = np.zeros(len(own), np.int64)
+    for q, n in pieces:
+        counts += np.bincount(q[n != own[q]], minlength=len(own))
+    return counts
+
+
+def audited_beam(graph: Graph, shard: np.ndarray, queries: np.ndarray, least: float, beam: int = BEAM, own: np.ndarray | None = None) -> int:
+    """The beam width at which sampled queries find RECALL of what the whole shard holds for them; the shard's size if none does.
+
+    Recall is the mean over queries of each one's share, its hit on itself (``own``: its place in the shard, or -1) left out. Queries of
+    at most FEW neighbours and those of more must pass apart. The sample is drawn from the queries and from the shard's own vectors;
+    planted vectors near the threshold make sure that it has queries of few neighbours.
+    """
+    if not len(shard) or not len(queries):
+        return len(shard)
     rng = np.random.default_rng(5)
-    sample = np.concatenate([queries[rng.permutation(len(queries))[:AUDITED]], shard[rng.permutation(len(shard))[:AUDITED]]])
-    held = int((sample @ shard.T >= least).sum())
-    while beam < len(shard) and len(graph.within(sample, least, beam)[0]) < RECALL * held:
+    asked, kept = rng.permutation(len(queries))[:POOL], rng.permutation(len(shard))[:POOL]
+    planted = _planted(shard, AUDITED, 1 - 0.8 * (1 - least), rng)
+    sample = np.concatenate([queries[asked], shard[kept], planted])
+    own = np.concatenate([np.full(len(asked), -1) if own is None else own[asked], kept, np.full(len(planted), -1)])
+    held = _counts(graph.scan(sample, least + 1e-6), own)
+    many = np.flatnonzero(held > FEW)
+    audited = np.concatenate([np.flatnonzero((held > 0) & (held <= FEW)), many[rng.permutation(len(many))[:AUDITED]]])
+    sample, own, held = sample[audited], own[audited], held[audited]
+    while beam < len(shard):
+        recall = np.minimum(1, _counts(graph.pieces(sample, least, beam), own) / held)
+        if all(recall[group].mean() >= RECALL for group in (held <= FEW, held > FEW) if group.any()):
+            return beam
         beam *= 2
-    return min(beam, len(shard))
+        if 8 * beam > len(shard):  # comparing with all is then no dearer
+            break
+    return len(shard)
+
+
+def near_pairs(graph: Graph, shard: np.ndarray, queries: np.ndarray, least: float, own: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, node) pairs a piece at a time: by the graph where its audit passes, else by comparing all, in blocks."""
+    beam = audited_beam(graph, shard, queries, least, own=own)
+    return graph.pieces(queries, least, beam) if beam < len(shard) else graph.scan(queries, least)
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,14 +167,14 @@ def search(classes: DataFrame, graphs: DataFrame) -> DataFrame:
             links, ends = np.zeros(len(cid), np.int64), []
             for path in by_dim.get(dim, []):
                 ids, copies, shard, graph = _load(store, path)
-                beam = audited_beam(graph, shard, queries, COSINE - SLACK)
-                q, n = graph.within(queries, COSINE - SLACK, beam)
-                for lo in range(0, len(q), 1 << 16):
-                    a, b = q[lo:lo + (1 << 16)], n[lo:lo + (1 << 16)]
-                    true = (np.einsum("pd,pd->p", queries[a], shard[b]) >= COSINE) & (cid[a] != ids[b])
-                    a, b = a[true], b[true]
-                    links += np.bincount(a, copies[b], minlength=len(cid)).astype(np.int64)
-                    ends.append(np.stack(forest(cid[a], ids[b])))
+                at = np.minimum(np.searchsorted(ids, cid), len(ids) - 1)
+                for q, n in near_pairs(graph, shard, queries, COSINE - SLACK, np.where(ids[at] == cid, at, -1)):
+                    for lo in range(0, len(q), 1 << 16):
+                        a, b = q[lo:lo + (1 << 16)], n[lo:lo + (1 << 16)]
+                        true = (np.einsum("pd,pd->p", queries[a], shard[b]) >= COSINE) & (cid[a] != ids[b])
+                        a, b = a[true], b[true]
+                        links += np.bincount(a, copies[b], minlength=len(cid)).astype(np.int64)
+                        ends.append(np.stack(forest(cid[a], ids[b])))
             joined = np.concatenate(ends, axis=1) if ends else np.zeros((2, 0), np.int64)
             a, b = forest(joined[0], joined[1])
             yield pa.RecordBatch.from_arrays([

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import io
+from collections.abc import Iterator
 
 import numpy as np
 
 DEGREE = 16
 BUILD_BEAM = 48
 BATCH = 512
+SPREAD = 4096
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, flags: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,33 +153,49 @@ class Graph:
                 sims[active_now], ids[active_now], spent[active_now] = s, i, f
         return sims, ids
 
-    def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """(query, node) pairs of similarity >= least: a beam to get near, then wide enough to hold all neighbours in range."""
+    def pieces(self, queries: np.ndarray, least: float, width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, node) pairs of similarity >= least, a piece at a time and each pair once: a beam to get near, then on through all
+        neighbours in range. A piece is at most a block's beams, or ``SPREAD`` nodes' links."""
         queries = np.ascontiguousarray(queries, np.float32)
-        out_q, out_n = [], []
         step = max(16, min(BATCH, (1 << 25) // max(1, len(self.x))))
         for lo in range(0, len(queries), step):
             part = queries[lo:lo + step]
             sims, ids = self._beam(0, part, self._descend(part, 0), width)
             q, c = np.nonzero((sims >= least) & (ids >= 0))
             seen = np.zeros((len(part), len(self.x) + 1), bool)
-            front_q, front_n = q, ids[q, c]
+            front_q, front_n = q.astype(np.int32), ids[q, c]
             seen[front_q, front_n] = True
+            if len(front_q):
+                yield lo + front_q.astype(np.int64), self.order[front_n]
             while len(front_q):
-                out_q.append(lo + front_q)
-                out_n.append(front_n)
                 next_q, next_n = [], []
-                for k in range(0, len(front_q), 4096):
-                    near = self.links[0][front_n[k:k + 4096]]
-                    who = np.repeat(front_q[k:k + 4096], near.shape[1])
+                for k in range(0, len(front_q), SPREAD):
+                    near = self.links[0][front_n[k:k + SPREAD]]
+                    who = np.repeat(front_q[k:k + SPREAD], near.shape[1])
                     near = near.reshape(-1)
                     fresh = ~seen[who, near] & (near >= 0)
                     pair = np.unique(who[fresh].astype(np.int64) * len(self.x) + near[fresh])
                     who, near = pair // len(self.x), pair % len(self.x)
                     seen[who, near] = True
                     hit = np.einsum("pd,pd->p", part[who], self.x[near]) >= least
-                    next_q.append(who[hit])
-                    next_n.append(near[hit])
-                front_q, front_n = np.concatenate(next_q), np.concatenate(next_n)
+                    if hit.any():
+                        who, near = who[hit], near[hit]
+                        next_q.append(who.astype(np.int32))
+                        next_n.append(near.astype(np.int32))
+                        yield lo + who, self.order[near]
+                front_q, front_n = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (next_q, next_n))
+
+    def scan(self, queries: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The same pairs by comparing every query with every node, in blocks."""
+        queries = np.ascontiguousarray(queries, np.float32)
+        for lo in range(0, len(queries), 128):
+            for at in range(0, len(self.x), 1 << 13):
+                q, n = np.nonzero(queries[lo:lo + 128] @ self.x[at:at + (1 << 13)].T >= least)
+                if len(q):
+                    yield lo + q, self.order[at + n]
+
+    def within(self, queries: np.ndarray, least: float, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ``pieces`` joined; only for as many queries as all pairs of fit memory."""
         none = np.zeros(0, np.int64)
-        return (np.concatenate(out_q), self.order[np.concatenate(out_n)]) if out_q else (none, none)
+        q, n = zip((none, none), *self.pieces(queries, least, width))
+        return np.concatenate(q), np.concatenate(n)

@@ -11,7 +11,7 @@ from fixtures import PASSAGE, documents, edited, frame, prose, rows_of
 
 from clickloom.llm import near_dedup, suffix_dedup
 from clickloom.llm.common import table
-from clickloom.llm.embedding_dedup import COSINE, audited_beam, forest, link_vectors
+from clickloom.llm.embedding_dedup import COSINE, audited_beam, forest, link_vectors, near_pairs
 from clickloom.llm.graph import components
 from clickloom.llm.near_dedup import drop_near_copies, near_groups, word_idf
 from clickloom.llm.small_world import Graph
@@ -284,3 +284,20 @@ def test_forest_spans_the_same_components():
     a, b = rng.integers(0, 80, 70), rng.integers(0, 80, 70)
     u, v = forest(a, b)
     assert roots(80, list(zip(a, b))) == roots(80, list(zip(u, v))) and len(u) < 80
+
+
+def test_lost_small_groups_fail_the_audit_of_a_shard_with_a_large_one():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(1500, 24))
+    x[:500] = x[0] + 0.02 * rng.normal(size=(500, 24))
+    x[501::2] = x[500::2] + 0.02 * rng.normal(size=(500, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph = Graph(x, rng.integers(0, 2**62, len(x)).astype(np.uint64))
+    lost = np.isin(graph.order, np.arange(501, 1500, 2))
+    for links in graph.links:
+        links[lost[np.maximum(links, 0)]] = -1  # no link leads to one of each pair
+    own = np.arange(len(x))
+    assert audited_beam(graph, x, x, COSINE, own=own) == len(x)
+    found = {pair for q, n in near_pairs(graph, x, x, COSINE, own) for pair in zip(q.tolist(), n.tolist())}
+    assert {(k, k + 1) for k in range(500, 1500, 2)} | {(k + 1, k) for k in range(500, 1500, 2)} <= found
+    assert len(found) == (x @ x.T >= COSINE).sum()
