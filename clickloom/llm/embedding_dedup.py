@@ -30,6 +30,7 @@ AUDITED = 48
 POOL = 192
 #: Up to so many neighbours are few.
 FEW = 16
+FOLD = 1 << 18
 RECALL = 0.99
 #: Single precision may put a pair below the threshold by this much; pairs are verified in double precision.
 SLACK = 1e-4
@@ -146,6 +147,37 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[root[moved]]
 
 
+class Spanning:
+    """A forest of all links added so far. What is added since the last fold stays below FOLD links, or the forest's own size."""
+
+    def __init__(self):
+        self.held, self.fresh, self.waiting = np.zeros((2, 0), np.int64), [], 0
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.fresh.append(np.stack(forest(a, b)))
+        self.waiting += self.fresh[-1].shape[1]
+        if self.waiting > max(FOLD, self.held.shape[1]):
+            self.edges()
+
+    def edges(self) -> np.ndarray:
+        joined = np.concatenate([self.held, *self.fresh], axis=1)
+        self.held, self.fresh, self.waiting = np.stack(forest(joined[0], joined[1])), [], 0
+        return self.held
+
+
+def count_links(ids: np.ndarray, copies: np.ndarray, shard: np.ndarray, graph: Graph, cid: np.ndarray, queries: np.ndarray, links: np.ndarray,
+                spanning: Spanning) -> None:
+    """Add the queries' links with one shard to ``links`` and ``spanning``; each piece of pairs is verified and dropped before the next."""
+    at = np.minimum(np.searchsorted(ids, cid), len(ids) - 1)
+    for q, n in near_pairs(graph, shard, queries, COSINE - SLACK, np.where(ids[at] == cid, at, -1)):
+        for lo in range(0, len(q), 1 << 16):
+            a, b = q[lo:lo + (1 << 16)], n[lo:lo + (1 << 16)]
+            true = (np.einsum("pd,pd->p", queries[a], shard[b]) >= COSINE) & (cid[a] != ids[b])
+            a, b = a[true], b[true]
+            np.add.at(links, a, copies[b])
+            spanning.add(cid[a], ids[b])
+
+
 def search(classes: DataFrame, graphs: DataFrame) -> DataFrame:
     """(a, b, links): rows with b null give a's number of linked vectors in other classes; the others are forest links."""
     by_dim: dict[int, list[str]] = {}
@@ -164,19 +196,10 @@ def search(classes: DataFrame, graphs: DataFrame) -> DataFrame:
             own = rows.filter(pa.array(dims == dim)).combine_chunks()
             cid = own.column("cid").to_numpy()
             queries = _unit(_matrix(own.column("embedding").combine_chunks()))
-            links, ends = np.zeros(len(cid), np.int64), []
+            links, spanning = np.zeros(len(cid), np.int64), Spanning()
             for path in by_dim.get(dim, []):
-                ids, copies, shard, graph = _load(store, path)
-                at = np.minimum(np.searchsorted(ids, cid), len(ids) - 1)
-                for q, n in near_pairs(graph, shard, queries, COSINE - SLACK, np.where(ids[at] == cid, at, -1)):
-                    for lo in range(0, len(q), 1 << 16):
-                        a, b = q[lo:lo + (1 << 16)], n[lo:lo + (1 << 16)]
-                        true = (np.einsum("pd,pd->p", queries[a], shard[b]) >= COSINE) & (cid[a] != ids[b])
-                        a, b = a[true], b[true]
-                        links += np.bincount(a, copies[b], minlength=len(cid)).astype(np.int64)
-                        ends.append(np.stack(forest(cid[a], ids[b])))
-            joined = np.concatenate(ends, axis=1) if ends else np.zeros((2, 0), np.int64)
-            a, b = forest(joined[0], joined[1])
+                count_links(*_load(store, path), cid, queries, links, spanning)
+            a, b = spanning.edges()
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([cid, a])), pa.array(np.concatenate([np.zeros_like(cid), b]), mask=np.arange(len(cid) + len(a)) < len(cid)),
                 pa.array(np.concatenate([links, np.zeros(len(a), np.int64)]))], ["a", "b", "links"])

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +12,7 @@ from fixtures import PASSAGE, documents, edited, frame, prose, rows_of
 
 from clickloom.llm import near_dedup, suffix_dedup
 from clickloom.llm.common import table
-from clickloom.llm.embedding_dedup import COSINE, audited_beam, forest, link_vectors, near_pairs
+from clickloom.llm.embedding_dedup import COSINE, Spanning, audited_beam, count_links, forest, link_vectors, near_pairs
 from clickloom.llm.graph import components
 from clickloom.llm.near_dedup import drop_near_copies, near_groups, word_idf
 from clickloom.llm.small_world import Graph
@@ -301,3 +302,20 @@ def test_lost_small_groups_fail_the_audit_of_a_shard_with_a_large_one():
     found = {pair for q, n in near_pairs(graph, x, x, COSINE, own) for pair in zip(q.tolist(), n.tolist())}
     assert {(k, k + 1) for k in range(500, 1500, 2)} | {(k + 1, k) for k in range(500, 1500, 2)} <= found
     assert len(found) == (x @ x.T >= COSINE).sum()
+
+
+def test_pairs_of_a_large_group_are_not_held():
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(4000, 16))
+    x[:3000] = x[0] + 0.01 * rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    graph, ids = Graph(x, rng.integers(0, 2**62, len(x)).astype(np.uint64)), np.arange(len(x))
+    links, spanning = np.zeros(len(x), np.int64), Spanning()
+    tracemalloc.start()
+    count_links(ids, np.ones(len(x), np.int64), x, graph, ids, x, links, spanning)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links[:3000].tolist() == [2999] * 3000
+    assert peak < links.sum() * 12  # nine million pairs as two whole numbers each are 144 MB, and joining them holds them twice
+    a, b = spanning.edges()
+    assert roots(len(x), zip(a.tolist(), b.tolist()))[:3000] == [0] * 3000
