@@ -1,6 +1,6 @@
 """Near-duplicate embeddings by navigable small-world graphs per shard.
 
-Vectors are dealt to ``shards`` by hash; each shard builds a graph and stores it in the shared folder. Every vector then queries
+Vectors of each length are dealt to shards by hash, at most about ``SHARD_FIGURES`` figures to one; each shard builds a graph and stores it in the shared folder. Every vector then queries
 every shard: a beam search gets near, and goes on through all neighbours in range. Before a block of queries is answered, a recall
 audit compares the beam with the whole shard on a sample of queries and of the shard's own vectors, query by query; the beam is doubled
 until the audit passes, and a shard that never passes is compared whole. Every pair is verified by cosine in double precision. Equal vectors are one node with a count. A task hands on,
@@ -20,10 +20,12 @@ from pyspark.taskcontext import TaskContext
 from clickloom.llm.common import shared_folder, ship_code, table, written
 from clickloom.llm.graph import components
 from clickloom.llm.small_world import Graph
+from clickloom.session import broadcast_if_small
 
 COSINE = 0.95
-#: Shards to choose so that one fits a task: about 2 million vectors of 64 figures take a gigabyte.
+#: At least so many shards, and more as the table grows: building a shard of so many figures (131,072 vectors of 64) takes a task about 0.5 GB.
 SHARDS = 4
+SHARD_FIGURES = 1 << 23
 BEAM = 32
 AUDITED = 48
 #: Of the queries, and of the shard's own vectors, so many are compared with the whole shard to find those to audit.
@@ -207,7 +209,13 @@ def search(classes: DataFrame, graphs: DataFrame) -> DataFrame:
     return written(classes.select("cid", "dim", "embedding").mapInArrow(work, "a long, b long, links long"), "embedding-links")
 
 
-def link_vectors(vectors: DataFrame, shards: int = SHARDS) -> DataFrame:
+def shard_counts(classes: DataFrame, shards: int | None = None) -> DataFrame:
+    """dim, shards: into how many shards the vectors of each length are dealt (``shards``, or by their count and length)."""
+    full = F.ceil(F.count("*") * F.col("dim") / F.lit(SHARD_FIGURES))
+    return classes.groupBy("dim").agg((F.lit(shards) if shards else F.greatest(F.lit(SHARDS), full)).cast("int").alias("shards"))
+
+
+def link_vectors(vectors: DataFrame, shards: int | None = None) -> DataFrame:
     """vec_id, n_links, component_id, kept for every row.
 
     Null, empty, zero and non-finite vectors link with nothing and stand alone, as do vectors of different lengths from each other. Equal
@@ -224,9 +232,10 @@ def link_vectors(vectors: DataFrame, shards: int = SHARDS) -> DataFrame:
     rows = written(keyed, "vectors")
     classes = written(rows.where("embedding IS NOT NULL").groupBy("h1", "h2").agg(
         F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"),
-    ).withColumns({"cid": F.monotonically_increasing_id(), "dim": F.size("embedding")}).withColumn(
-        "shard", F.pmod(F.xxhash64("h1", "h2"), F.lit(shards)).cast("int")), "vector-classes")
-    found = search(classes, build(classes.select("dim", "shard", "cid", "copies", "embedding"), shared_folder(vectors.sparkSession, "small-worlds")))
+    ).withColumns({"cid": F.monotonically_increasing_id(), "dim": F.size("embedding")}), "vector-classes")
+    dealt = classes.join(broadcast_if_small(shard_counts(classes, shards)), "dim").withColumn(
+        "shard", F.pmod(F.xxhash64("h1", "h2"), F.col("shards")).cast("int"))
+    found = search(classes, build(dealt.select("dim", "shard", "cid", "copies", "embedding"), shared_folder(vectors.sparkSession, "small-worlds")))
     roots = components(found.where("b IS NOT NULL"))
     counts = found.where("b IS NULL").select(F.col("a").alias("cid"), "links")
     labelled = classes.select("cid", "h1", "h2", "copies", "least").join(counts, "cid").join(

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from fixtures import PASSAGE, documents, edited, frame, prose, rows_of
 
-from clickloom.llm import near_dedup, suffix_dedup
+from clickloom.llm import embedding_dedup, near_dedup, suffix_dedup
 from clickloom.llm.common import table
 from clickloom.llm.embedding_dedup import COSINE, Spanning, audited_beam, count_links, forest, link_vectors, near_pairs
 from clickloom.llm.graph import components
@@ -319,3 +319,16 @@ def test_pairs_of_a_large_group_are_not_held():
     assert peak < links.sum() * 12  # nine million pairs as two whole numbers each are 144 MB, and joining them holds them twice
     a, b = spanning.edges()
     assert roots(len(x), zip(a.tolist(), b.tolist()))[:3000] == [0] * 3000
+
+
+def test_shards_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD_FIGURES", 24 * 100)
+    built, build = [], embedding_dedup.build
+    monkeypatch.setattr(embedding_dedup, "build", lambda classes, folder: (built.append(classes), build(classes, folder))[1])
+    x = vectors()
+    rows = [(k, v.tolist()) for k, v in enumerate(x)] + [(2000 + k, [1.0, float(k)]) for k in range(3)]
+    got = {r.vec_id: r for r in link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    shards = {(r.dim, r.shard): r["count"] for r in built[0].groupBy("dim", "shard").count().collect()}
+    assert len([k for k in shards if k[0] == 24]) == 15 and max(shards.values()) < 150 and {d for d, _ in shards} == {2, 24}
+    links, _ = brute_links(x)
+    assert sum(min(got[k].n_links, links[k]) for k in range(len(x))) >= 0.99 * links.sum()
