@@ -1,13 +1,14 @@
 """Byte-level BPE ids of whole texts, with the tokenizers library.
 
 A byte-level pre-tokenizer always parts a text at some places that bytes show (see ``cuts``), so a text's ids are those of
-the units between them. Most units repeat: each worker remembers them by a 64-bit hash in numpy
+the units between them. Added tokens of the vocabulary (<|endoftext|>) are units too, with their own id. Most units repeat: each worker remembers them by a 64-bit hash in numpy
 tables, and only new ones go to the library, many in one call. Whole texts are covered, and the ids are the library's.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,11 @@ class Tokens:
     def __init__(self, path: str, slots: int = 1 << 22):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        added = self.library.get_added_tokens_decoder().values()
+        if any(x.single_word or x.lstrip or x.rstrip for x in added):
+            raise ValueError("added tokens that take in white space or stand only at words are not known here")
+        self.added = frozenset(x.content.encode() for x in added)
+        self.pattern = re.compile(b"|".join(re.escape(x) for x in sorted(self.added, key=len, reverse=True))) if self.added else None
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.size = max(vocabulary.values()) + 1
         self.id_bytes = np.zeros(self.size, np.int64)  # one character of the byte alphabet stands for one byte
@@ -65,7 +70,7 @@ class Tokens:
 
     def learn(self, keys: np.ndarray, units: list[bytes]) -> None:
         """Encode distinct new units. Those that end visibly and begin so after at most one space stay apart when joined by line ends."""
-        joined = [i for i, u in enumerate(units) if 32 < u[-1] < 127 and u[u[0] == 32] in _OPENS]
+        joined = [i for i, u in enumerate(units) if 32 < u[-1] < 127 and u[u[0] == 32] in _OPENS and u not in self.added]
         alone = sorted(set(range(len(units))) - set(joined))
         lengths = np.zeros(len(units), np.int64)
         ids: list[np.ndarray] = []
@@ -101,10 +106,28 @@ class Tokens:
             at[todo] = np.where(self.keys[at[todo]] == 0, at[todo], (at[todo] + 1) & (self.slots - 1))
         self.filled += len(keys)
 
+    def around_added(self, starts: np.ndarray, body: bytes, offsets: np.ndarray) -> np.ndarray:
+        """``starts`` with every added token of a row as a unit of its own: the library takes these out before anything else."""
+        spans, at = [], 0
+        while self.pattern and (found := self.pattern.search(body, at)):
+            end = int(offsets[np.searchsorted(offsets, found.start(), "right")])
+            if found.end() > end:  # it runs into the next row; the row itself may hold a shorter or later one
+                found = self.pattern.search(body, at, end)
+            if found:
+                spans.append(found.span())
+            at = found.end() if found else end
+        if not spans:
+            return starts
+        begin, end = np.array(spans).T
+        nth = np.searchsorted(begin, starts, "right") - 1
+        outside = starts[(nth < 0) | (starts >= end[nth])]
+        return np.unique(np.concatenate([outside, begin, end[end < len(body)]]))
+
     def encode(self, column: pa.Array):
         """Yield (first row, last row + 1, ids, offsets of the rows in the ids) for runs of rows; every row ends with END_ID."""
         for first, last, data, offsets in runs(column):
-            starts = cuts(data, offsets)
+            body = data.tobytes()
+            starts = self.around_added(cuts(data, offsets), body, offsets)
             ends = np.append(starts[1:], len(data))
             rows = np.searchsorted(offsets, starts, "right") - 1
             keys = Prefix(data).spans(starts, ends) | np.uint64(1)
@@ -118,7 +141,6 @@ class Tokens:
                     at = np.flatnonzero(slots < 0)[at]
                 if len(fresh) > self.slots // 2:
                     raise ValueError("more distinct units in one run than the tables hold; raise slots")
-                body = data.tobytes()
                 self.learn(fresh, [body[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
                 slots = self.find(keys)
             counts = self.count[slots].astype(np.int64)

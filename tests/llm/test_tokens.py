@@ -36,6 +36,18 @@ def test_ids_are_those_of_the_library(coder):
                 assert ids[bounds[k]:bounds[k + 1]].tolist() == library_ids(coder, array[first + k].as_py())
 
 
+def test_added_tokens_keep_their_id(coder):
+    from tokenizers import Tokenizer
+    fresh, rng, end = Tokenizer.from_file(default_path()), random.Random(6), "<|endoftext|>"
+    parts = [end, end, end[:7], end[7:], "<", ">", " ", "  ", "\n", "\n\n", "a", "don't", "é", "日", ".", "x9", "\u3000"]
+    texts = [end, end + end, f"a {end} b", f"a{end}\nb", end[:7], end[7:], f"{end[:7]}{end}", "x"] + [
+        "".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(4000)]
+    assert fresh.encode(end, add_special_tokens=False).ids == [50256]
+    for first, last, ids, bounds in coder.encode(pa.array(texts)):
+        for k in range(last - first):
+            assert ids[bounds[k]:bounds[k + 1]].tolist() == [*fresh.encode(texts[first + k], add_special_tokens=False).ids, END_ID]
+
+
 def test_small_tables_start_anew():
     small = Tokens(default_path(), slots=1 << 12)
     texts = [f"word{k} other{k * 7}" for k in range(40)]
