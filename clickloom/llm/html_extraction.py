@@ -33,6 +33,8 @@ BLOCKS = frozenset((
     "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption",
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "li", "main", "menu", "nav", "ol", "p",
     "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"))
+#: Blocks that are no lists of links, however much of them is linked.
+PROSE = frozenset(("h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre", "figcaption"))
 FURNITURE_TAGS = frozenset(("head", "nav", "footer", "aside", "form", "button", "select", "menu", "dialog", "object", "canvas"))
 FURNITURE_NAMES = frozenset((
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "consent",
@@ -68,7 +70,7 @@ def _is_furniture(tag: str, rest: str, inside_root: bool) -> bool:
 
 
 def page_lines(page: str) -> list[tuple[str, bool, bool, int]]:
-    """(text, furniture, inside an article or main element, characters in links) for every line with text, in page order."""
+    """(text, furniture, inside an article or main element, characters in links that are no prose) for every line with text, in page order."""
     lines: list[tuple[str, bool, bool, int]] = []
     stack: list[tuple[str, bool, bool]] = []  # tag, furniture, inside root
     words: list[str] = []
@@ -85,7 +87,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool, int]]:
         text = " ".join("".join(words).split())
         if text:
             top = stack[-1] if stack else ("", False, False)
-            lines.append((text, top[1], top[2], state["linked"]))
+            lines.append((text, top[1], top[2], 0 if top[0] in PROSE else state["linked"]))
         words.clear()
         state["linked"] = 0
 
@@ -144,12 +146,11 @@ def main_text(page: str | None) -> str:
         return ""
     lines = page_lines(page)
     rooted = any(root and not furniture for _, furniture, root, _ in lines)
-    own = [not furniture and (root if rooted else 2 * linked <= len(text)) for text, furniture, root, linked in lines]
-    if not any(own):
+    # known furniture leaves no gap: windows decide only about lines of unknown kind
+    shown = [(text, rooted or 2 * linked <= len(text)) for text, furniture, root, linked in lines if not furniture and (root or not rooted)]
+    lengths = np.array([len(text) if weighs else 0 for text, weighs in shown])
+    if not lengths.any():
         return ""
-    # an element that is known to be the article leaves no furniture between its lines; elsewhere furniture parts the text
-    shown = [k for k, mine in enumerate(own) if mine] if rooted else list(range(len(lines)))
-    lengths = np.array([len(lines[k][0]) if own[k] else 0 for k in shown])
     sums = np.convolve(lengths, np.ones(WINDOW, int))  # window k covers the lines k - WINDOW + 1 to k
     high = np.flatnonzero(sums >= RISE * sums.max())
     surge, dive = int(high[0]), int(high[-1])
@@ -157,8 +158,9 @@ def main_text(page: str | None) -> str:
         surge -= 1
     while dive + 1 < len(sums) and sums[dive + 1]:
         dive += 1
-    between = shown[max(0, surge - WINDOW + 1):dive + 1]
-    return "\n".join(lines[k][0] for k in between if own[k])
+    between = np.flatnonzero(lengths)
+    between = between[(between >= surge - WINDOW + 1) & (between <= dive)]
+    return "\n".join(text for text, _ in shown[between[0]:between[-1] + 1])
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -25,6 +25,18 @@ def test_pages_without_an_article_element():
     assert main_text(f"{links}<div>First words.</div><div>{'long ' * 50}</div>{links}") == "First words.\n" + "long " * 49 + "long"
 
 
+def test_furniture_does_not_part_pages_without_an_article_element():
+    share = "<ul class=share><li>Mail<li>Post<li>Print<li>Save</ul>"
+    page = f"<div class=nav><p>Home</p></div><h1>Title</h1>{share}<p>{'long ' * 100}</p><p>middle</p>{share}<p>Last words.</p><div class=footer>c</div>"
+    assert main_text(page) == "Title\n" + "long " * 99 + "long\nmiddle\nLast words."
+
+
+def test_linked_blocks_of_the_text_stay():
+    page = "<ul><li><a href=/>Home</a></ul><h1><a href=/t>Title</a></h1><p>Some words stand here.</p><div><a href=/r>The report in full</a></div>" \
+        "<p>More words stand here.</p><p><a href=/s>The source</a></p><div><a href=/n>Next</a></div>"
+    assert main_text(page) == "Title\nSome words stand here.\nThe report in full\nMore words stand here.\nThe source"
+
+
 def test_odd_pages(spark):
     assert [main_text(x) for x in (None, "", "plain text", "<p>x <b", "<script>never closed", "&amp &am", "<!-- open", "a < b > c")] == [
         "", "", "plain text", "x", "", "& &am", "", "a < b > c"]
