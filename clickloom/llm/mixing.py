@@ -3,8 +3,8 @@
 1. Targets. Sources (by code point, null last) weigh 1, 2, 3, repeating, and share all words; no target exceeds ``MOST_PASSES``
    times its source's words, and the excess is shared again by weight (one ordered pass: water filling).
 2. Blocks. A hash of each row puts it into one of its source's blocks, in random order. A source is taken whole as often as
-   its target holds it, and then in block order up to the rest: whole blocks, then rows of the next block, then single rows
-   that bring it nearest. Sources of any size only need sums by block; rows never meet by source.
+   its target holds it, and then in block order up to the rest: whole blocks, then rows of the next block. A row that no longer
+   fits is passed by, and a next run goes on over the later rows that do, until none does; then single rows bring it nearest. Sources of any size only need sums by block; rows never meet by source.
 3. Quotas. Every (pass, block) is a unit. A tree over the output shards splits the units: a node's left half gets as many units as
    its shards hold, drawn without replacement from all sources, which is a multivariate hypergeometric draw of the quotas.
    Quotas are exact: shards add up to every source's units.
@@ -12,8 +12,9 @@
    Rows are sorted by a hash within their shard. All random choices are hashes of values and ``seed``; reruns agree.
 
 Nulls: a null text has no words, a null source is a source, a null doc_id is a value. Rows without words are taken as their block
-is. Equal rows (same id, source and text) share a hash and are taken alike; fillers may then exceed the gap by their copies.
-Documents are drawn whole, so a source comes within its smallest fitting document of its target. An empty table gives no rows.
+is. Equal rows (same id, source and text) share a hash and are taken alike.
+Documents are drawn whole: no document that is left out would fit into what a source lacks of its target, unless a row's copies
+do not fit together. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -64,35 +65,26 @@ def targets(rows: DataFrame) -> DataFrame:
 
 
 def plan(rows: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """How to take each source: passes (whole), blocks, last (block), upto (hash in it), fillers (hashes), units."""
+    """How to take each source: passes (whole), blocks, last (block of the first run), runs, fillers (hashes), units."""
     size = F.col("source_size")
     wanted = targets(rows).withColumns({
         "blocks": F.greatest(F.lit(1), F.least(F.lit(MOST_BLOCKS), F.ceil(size / block_words))).cast("long"),
         "passes": F.when(size > 0, F.least(F.lit(MOST_PASSES), F.floor(F.col("target") / size))).otherwise(0).cast("long"),
     }).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("passes") * size))
     wanted = broadcast_if_small(wanted)
-    placed = _with_source(rows, wanted).withColumn("block", _block(F.col("u"), F.col("blocks")))
-
-    sums = placed.groupBy("rank", "block").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    upto = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)  # at most MOST_BLOCKS short rows
-    ends = sums.withColumn("end", F.sum("words").over(upto))
-    last = ends.where(F.col("end") > F.col("rest")).groupBy("rank").agg(F.min("block").alias("last"), F.min("end").alias("end_words"))
-    last = last.join(ends.select("rank", F.col("block").alias("last"), "words"), ["rank", "last"]).select(
-        "rank", "last", (F.col("end_words") - F.col("words")).alias("base"))
-    edge = broadcast_if_small(wanted.join(last, "rank"))
-
-    in_last = _with_source(rows, edge).where(_block(F.col("u"), F.col("blocks")) == F.col("last"))
-    running = F.sum("size").over(Window.partitionBy("rank").orderBy("u").rangeBetween(Window.unboundedPreceding, 0))  # rows of one block
-    fits = in_last.withColumn("run", F.col("base") + running).where(F.col("run") <= F.col("rest"))
-    edge = broadcast_if_small(edge.join(
-        fits.groupBy("rank").agg(F.max("u").alias("upto"), F.max("run").alias("taken")), "rank", "left").select(
-        *edge.columns, F.coalesce("upto", F.lit(-1)).alias("upto"),
-        (F.col("rest") - F.coalesce(F.col("taken"), F.col("base"))).alias("gap"), F.array().cast("array<bigint>").alias("fillers")))
+    partial = wanted.where((size > 0) & (F.col("passes") < MOST_PASSES))
+    units = written(_with_source(rows, partial).groupBy("rank", "u").agg(F.first("size").alias("size"), F.sum("size").alias("total")), "mix-units")
+    edge = broadcast_if_small(partial.select(
+        "rank", "blocks", "passes", F.col("rest").alias("gap"), F.lit(-1).cast("long").alias("start"), F.lit(None).cast("long").alias("last"),
+        F.array().cast("array<struct<lo:bigint,block:bigint,upto:bigint,most:double>>").alias("runs"),
+        F.array().cast("array<bigint>").alias("fillers")))
+    while not edge.where("start IS NOT NULL").isEmpty():
+        edge = _run(units, edge)
 
     for _ in range(FILLERS):
-        gain = F.floor(F.col("gap") - F.abs(F.col("size") - F.col("gap"))).cast("long")  # how much nearer a row brings the source
-        over = (F.col("size") > F.col("gap")).cast("long")
-        free = _with_source(rows, edge).where((gain > 0) & ~_partial())
+        gain = F.floor(F.col("gap") - F.abs(F.col("total") - F.col("gap"))).cast("long")  # how much nearer a row brings the source
+        over = (F.col("total") > F.col("gap")).cast("long")
+        free = units.join(edge, "rank").where((gain > 0) & ~_partial())
         packed = ((2 * gain + over).cast("decimal(18,0)") * F.lit(_SPAN).cast("decimal(19,0)") + F.col("u")).cast("decimal(38,0)")
         best = free.groupBy("rank").agg(F.max(packed).alias("best"))
         found = best.select("rank", (F.col("best") % F.lit(_SPAN).cast("decimal(38,0)")).cast("long").alias("u1"),
@@ -103,10 +95,9 @@ def plan(rows: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             "gap": F.when(F.col("code").isNull(), gap).when(F.col("code") % 2 == 1, gain1 - gap).otherwise(gap - gain1),
         }).drop("u1", "code"))
 
-    whole = wanted.join(edge.select("rank", "last", "upto", "fillers"), "rank", "left")
+    whole = wanted.join(edge.select("rank", "last", "runs", "fillers"), "rank", "left")
     return broadcast_if_small(whole.withColumns({
-        "last": F.coalesce("last", F.lit(-1)), "upto": F.coalesce("upto", F.lit(-1)),
-        "fillers": F.coalesce("fillers", F.array().cast("array<bigint>")),
+        "last": F.coalesce("last", F.lit(-1)), "fillers": F.coalesce("fillers", F.array().cast("array<bigint>")),
     }).withColumn("units", F.col("passes") * F.col("blocks") + F.when(F.col("passes") < MOST_PASSES, F.col("last") + 1).otherwise(0)))
 
 
@@ -115,11 +106,48 @@ def _with_source(rows: DataFrame, sources: DataFrame) -> DataFrame:
     return rows.join(named, F.col("source").eqNullSafe(F.col("_mix_source"))).drop("_mix_source")
 
 
+def _run(units: DataFrame, edge: DataFrame) -> DataFrame:
+    """Take, in order of the hash after ``start``, all rows of at most ``gap`` words up to the first that no longer fits.
+
+    The next run starts at the first later row that fits what is left; a source without one has no start. Rows that a run passes by
+    are longer than its gap, so that they fit no later one.
+    """
+    block = _block(F.col("u"), F.col("blocks"))
+    open_ = (F.col("u") > F.col("start")) & (F.col("size") <= F.col("gap"))
+
+    sums = units.join(edge, "rank").where(open_).groupBy("rank", block.alias("block")).agg(F.sum("total").alias("words"), F.first("gap").alias("gap"))
+    upto = Window.partitionBy("rank").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)  # at most MOST_BLOCKS short rows
+    over = F.col("end") > F.col("gap")
+    ends = sums.withColumn("end", F.sum("words").over(upto)).groupBy("rank").agg(
+        F.max("end").alias("all_words"), F.min(F.when(over, F.col("block"))).alias("cut"),
+        F.min_by(F.col("end") - F.col("words"), F.when(over, F.col("block"))).alias("base"))
+    edge = broadcast_if_small(edge.join(ends, "rank", "left"))
+
+    running = F.sum("total").over(Window.partitionBy("rank").orderBy("u"))  # rows of one block
+    fits = units.join(edge, "rank").where(open_ & (block == F.col("cut"))).withColumn("run", F.col("base") + running).where(F.col("run") <= F.col("gap"))
+    edge = edge.join(fits.groupBy("rank").agg(F.max("u").alias("upto"), F.max("run").alias("taken")), "rank", "left")
+    found = F.col("start").isNotNull() & F.col("all_words").isNotNull()
+    cut = F.coalesce("cut", F.col("blocks"))
+    run = F.struct(F.col("start").alias("lo"), cut.alias("block"), F.coalesce("upto", F.lit(-1).cast("long")).alias("upto"), F.col("gap").alias("most"))
+    left = F.col("gap") - F.when(F.col("cut").isNull(), F.col("all_words")).otherwise(F.coalesce("taken", "base"))
+    edge = broadcast_if_small(edge.select(
+        "rank", "blocks", "passes", F.when(found, left).otherwise(F.col("gap")).alias("gap"),
+        F.coalesce("last", F.when(found, F.least(cut, F.col("blocks") - 1)).otherwise(F.lit(0))).alias("last"),
+        F.when(found, F.array_append("runs", run)).otherwise(F.col("runs")).alias("runs"), "fillers",
+        F.when(found & F.col("cut").isNotNull(), F.struct(F.col("cut").alias("block"), F.coalesce("upto", F.lit(-1).cast("long")).alias("upto"))).alias("at")))
+
+    later = (block > F.col("at.block")) | (block == F.col("at.block")) & (F.col("u") > F.col("at.upto"))
+    starts = units.join(edge, "rank").where(later & (F.col("total") > 0) & (F.col("total") <= F.col("gap"))).groupBy("rank").agg(
+        (F.min("u") - 1).alias("start"))
+    return broadcast_if_small(edge.drop("at").join(starts, "rank", "left"))
+
+
 def _partial() -> Column:
     """Whether the last, partial pass takes a row."""
-    block = _block(F.col("u"), F.col("blocks"))
-    return (F.col("passes") < MOST_PASSES) & (
-        (block < F.col("last")) | ((block == F.col("last")) & (F.col("u") <= F.col("upto"))) | F.array_contains("fillers", F.col("u")))
+    u, block = F.col("u"), _block(F.col("u"), F.col("blocks"))
+    in_run = F.exists("runs", lambda x: (u > x["lo"]) & (F.col("size") <= x["most"]) & (
+        (block < x["block"]) | (block == x["block"]) & (u <= x["upto"])))
+    return (F.col("passes") < MOST_PASSES) & (F.coalesce(in_run, F.lit(False)) | F.array_contains("fillers", u))
 
 
 def hypergeometric(total: Column, good: Column, drawn: Column, u: Column) -> Column:
@@ -190,7 +218,8 @@ def draw(rows: DataFrame, sources: DataFrame, shards: int, seed: int = 0, keep:
     placed = _with_source(rows, sources)
     block = _block(F.col("u"), F.col("blocks"))
     whole = F.transform(F.sequence(F.lit(0).cast("long"), F.col("passes")), lambda p: F.when(
-        p < F.col("passes"), p * F.col("blocks") + block).when(_partial(), p * F.col("blocks") + F.least(block, F.col("last"))))
+        p < F.col("passes"), p * F.col("blocks") + block).when(
+            _partial(), p * F.col("blocks") + F.when(block <= F.col("last"), block).otherwise(block % (F.col("last") + 1))))
     units = F.filter(whole, lambda x: x.isNotNull())
     shift = unit_hash("rank", seed=seed + 2) % F.col("units")
     exploded = placed.withColumn("_mix_unit", (F.explode_outer if keep else F.explode)(units)).withColumn(
@@ -219,7 +248,7 @@ def mix(docs: DataFrame, seed: int = 0, shard_words: int = SHARD_WORDS, block_wo
     """The mixed documents themselves (their own columns), copies repeated, in the order of shards and places."""
     rows = narrow(docs.select("doc_id", "source", "text"), seed)
     sources = plan(rows, block_words)
-    whole = docs.select("source", _place(seed).alias("u"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
+    whole = docs.select("source", _place(seed).alias("u"), word_count(F.col("text")).alias("size"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"))
     drawn = draw(whole, sources, shard_count(sources, shard_words), seed).select("shard", "place", "_doc")
     return drawn.repartitionByRange("shard", "place").sortWithinPartitions("shard", "place").select("_doc.*")
 

@@ -56,6 +56,17 @@ def test_sources_come_near_their_targets(spark, sf_dir):
         assert abs(r.taken - r.target) <= max(0.02 * r.target, r["size"] / 2)
 
 
+@pytest.mark.parametrize("seed", range(2))
+def test_a_very_long_document_leaves_no_gap(spark, seed):
+    sizes = {"a": [20_000 + k for k in range(8)] + [100 + k % 150 for k in range(900)], "b": [400 + k % 200 for k in range(600)]}
+    rows = [(k, "w " * n, s) for s, own in sizes.items() for k, n in enumerate(own)]
+    report = mix_report(spark.createDataFrame(rows, "doc_id long, text string, source string"), seed=seed, block_words=512).collect()
+    for own in sizes.values():
+        got = [r for r in report if r.source_size == sum(own)]
+        assert len(got) == len(own)
+        assert abs(sum(r.taken for r in got) - got[0].target) < min(own)
+
+
 def test_quotas_are_exact_and_random(spark):
     sources = spark.createDataFrame([(0, 40), (1, 7), (2, 0), (3, 953)], "rank int, units long")
     seen = []
