@@ -24,7 +24,7 @@ RISE = 0.1
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-zA-Z][^<]*?(?:>|\Z)",
     re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|style|aria-hidden|hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")  # values are units, so that none is read as a name
 _PART = re.compile(r"[a-z0-9]+")
 
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg")
@@ -41,11 +41,28 @@ FURNITURE_NAMES = frozenset((
     "cookie", "cookies", "disqus", "footer", "gdpr", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices",
     "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "responses", "share", "sharing",
     "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget"))
+#: Words that say of a piece of furniture which part of it this is.
+LAYOUT = frozenset((
+    "area", "article", "articles", "bar", "block", "body", "bottom", "box", "btn", "button", "buttons", "container", "content", "count", "counter",
+    "form", "group", "header", "heading", "icon", "icons", "inner", "item", "items", "label", "left", "link", "links", "list", "main", "message",
+    "outer", "page", "post", "posts", "right", "section", "site", "slot", "text", "title", "top", "unit", "wrap", "wrapper"))
 FURNITURE_ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu", "menubar"))
 HEADERS = frozenset(("header", "masthead", "topbar"))
 ROOTS = frozenset(("article", "main"))
 
 
+def _whole_names(value: str) -> set[str]:
+    """The listed words of names that consist of nothing else but words of layout: share-button, and not notice-period."""
+    names: set[str] = set()
+    for name in value.split():
+        parts = {x for x in _PART.findall(name) if not x.isdigit()}
+        if name in HEADERS:
+            names.add(name)
+        elif parts <= FURNITURE_NAMES | LAYOUT:
+            names |= parts & FURNITURE_NAMES
+    return names
+
+
 def _is_furniture(tag: str, rest: str, inside_root: bool) -> bool:
     """Whether an element is no part of an article. Headers are, inside one; the page and the article itself are never."""
     if tag in ("html", "body"):
@@ -57,7 +74,8 @@ def _is_furniture(tag: str, rest: str, inside_root: bool) -> bool:
     for name, value in _ATTRIBUTE.findall(rest):
         name, value = name.lower(), value.strip("\"'").lower()
         if name in ("class", "id"):
-            parts = set(_PART.findall(value))
+            whole = tag not in BLOCKS or tag in PROSE or tag == "section" and name == "id"
+            parts = _whole_names(value) if whole else set(_PART.findall(value))
             if parts & FURNITURE_NAMES and not (tag in ROOTS and not parts & {"comment", "comments", "replies", "responses"}):
                 return True
             if parts & HEADERS and not inside_root and tag not in ROOTS:

@@ -37,6 +37,13 @@ def test_linked_blocks_of_the_text_stay():
     assert main_text(page) == "Title\nSome words stand here.\nThe report in full\nMore words stand here.\nThe source"
 
 
+def test_names_that_only_contain_a_listed_word_are_text():
+    page = '<article><h2 id="sharing-your-data">Data</h2><section id="related-work"><p class="notice-period">One month</p></section>' \
+        '<p data-id="share">See <a href="/page?id=comments">these <b title="a class=ad">words</b></a></p><p class="ad">buy</p>' \
+        '<span class="share-button">Share</span><div class="cookie-note">We use</div><section id="related-posts"><p>More</p></section></article>'
+    assert main_text(page) == "Data\nOne month\nSee these words"
+
+
 def test_odd_pages(spark):
     assert [main_text(x) for x in (None, "", "plain text", "<p>x <b", "<script>never closed", "&amp &am", "<!-- open", "a < b > c")] == [
         "", "", "plain text", "x", "", "& &am", "", "a < b > c"]
