@@ -103,6 +103,12 @@ def test_blocks_miss_no_pair_across_components(spark, monkeypatch):
     assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(40), brute_groups(rows)))
 
 
+def test_sketches_miss_less_than_bands():
+    n, alike, least = near_dedup.SKETCH, near_dedup.SIMILARITY, math.ceil(near_dedup.SKETCH_SHARE * near_dedup.SKETCH)
+    missed = sum(math.comb(n, k) * alike**k * (1 - alike)**(n - k) for k in range(least))
+    assert missed < 0.001 * (1 - alike**near_dedup.ROWS)**near_dedup.BANDS
+
+
 def test_table_equals_brute_force(spark, sf_dir):
     rows = [tuple(r) for r in table(spark, sf_dir, "documents").select("doc_id", "text").orderBy("doc_id").collect()]
     got = {r.doc_id: r.group_id for r in near_dedup.op3_near_dedup(spark, sf_dir).collect()}
