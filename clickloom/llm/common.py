@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from clickloom.session import ensure_checkpoint_dir
 
@@ -68,3 +68,24 @@ def word_count(text: Column) -> Column:
 def unit_hash(*columns: Column, seed: int = 0) -> Column:
     """A uniform 62-bit number from the columns' values; the same on every run."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 2)
+
+
+def ranked(df: DataFrame, group: list[str], order: list[Column], purpose: str) -> DataFrame:
+    """``df`` with ``rank`` (from 0) and ``width`` (rows) in its group. A hot group is cut into many ranges, never one window.
+
+    Rows are dealt by ranges of (group, order) and written sorted, with their place in the range; the few places at which a
+    group starts in a range, with the rows of the group in earlier ranges, give the rest. Rows equal in all of ``order`` get
+    ranks in any order. Group columns hold no nulls.
+    """
+    spark = df.sparkSession
+    keys = [F.col(c) for c in group]
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(partitions(spark), *keys, *order, "_tie")
+    placed = written(dealt.sortWithinPartitions(*keys, *order, "_tie").drop("_tie").withColumn(
+        "_at", F.monotonically_increasing_id()), purpose)
+    placed = placed.withColumn("_slice", F.shiftright("_at", 33))
+    starts = placed.groupBy("_slice", *group).agg(F.min("_at").alias("_first"), F.count("*").alias("_rows"))
+    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = starts.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))).withColumn(
+        "width", F.sum("_rows").over(Window.partitionBy(*group))).drop("_rows")
+    out = placed.join(starts, ["_slice", *group])
+    return out.withColumn("rank", F.col("_at") - F.col("_first") + F.col("_before")).drop("_slice", "_at", "_first", "_before")

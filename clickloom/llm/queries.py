@@ -5,6 +5,7 @@ from __future__ import annotations
 from clickloom.llm.binary_output import op1_binary_output
 from clickloom.llm.embedding_dedup import op4_embedding_dedup
 from clickloom.llm.html_extraction import op9_html_extraction
+from clickloom.llm.merkle import OP11_SQL, op11_merkle_manifest
 from clickloom.llm.mixing import op10_mixing
 from clickloom.llm.near_dedup import op3_near_dedup
 from clickloom.llm.packing import op7_best_fit_packing
@@ -25,7 +26,8 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_html_extraction": op9_html_extraction,
     "op10_mixing": op10_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "pipeline": pipeline,
 }
 
-SQL = {"op8_quality_rules": OP8_SQL}
+SQL = {"op8_quality_rules": OP8_SQL, "op11_merkle_manifest": OP11_SQL}
