@@ -89,3 +89,32 @@ def ranked(df: DataFrame, group: list[str], order: list[Column], purpose: str) -
         "width", F.sum("_rows").over(Window.partitionBy(*group))).drop("_rows")
     out = placed.join(starts, ["_slice", *group])
     return out.withColumn("rank", F.col("_at") - F.col("_first") + F.col("_before")).drop("_slice", "_at", "_first", "_before")
+
+
+def joined(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", least: int = 4096) -> DataFrame:
+    """``big`` join ``small`` (one row a key) where keys of ``big`` may be hot. ``big`` is stored, as it is read more than once.
+
+    A key is hot with over a thousandth of the rows (and over ``least``): there are at most a thousand such keys, whose rows of
+    ``small`` are broadcast. All other keys are shuffled.
+    """
+    bound = max(least, big.count() // 1000)
+    hot = big.groupBy(*keys).count().where(F.col("count") > bound).drop("count").dropna()
+    if hot.isEmpty():
+        return big.join(small, keys, how)
+    hot = written(hot, "hot-keys")
+    found = written(small.join(F.broadcast(hot), keys, "left_semi"), "hot-rows")
+    few = big.join(F.broadcast(hot), keys, "left_semi").join(F.broadcast(found), keys, how)
+    return few.unionByName(big.join(F.broadcast(hot), keys, "left_anti").join(small, keys, how))
+
+
+_SQL_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+def sql_crc32(numbers: str, name: str) -> str:
+    """Recursive parts of a WITH clause of DuckDB: ``name`` (id, crc), the crc32 of the decimal text of ids from ``numbers``."""
+    return f"""{name}_steps AS (
+  SELECT id, CAST(id AS VARCHAR) AS digits, 0 AS k, 4294967295::BIGINT AS c FROM ({numbers})
+  UNION ALL
+  SELECT id, digits, k + 1, CASE WHEN k % 9 = 0 THEN xor(c, ascii(substr(digits, k // 9 + 1, 1))::BIGINT) ELSE {_SQL_BIT} END
+  FROM {name}_steps WHERE k < 9 * length(digits)),
+{name} AS (SELECT id, xor(c, 4294967295) AS crc FROM {name}_steps WHERE k = 9 * length(digits))"""

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from clickloom.llm.common import ranked, table, written
+from clickloom.llm.common import ranked, sql_crc32, table, written
 
 STEP = 8
 FAN = 1 << STEP
@@ -187,14 +187,9 @@ def _sql_leaf(n_chars: str) -> str:
     return "sha256(" + " || ".join(map(_sql_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
 
 
-_SQL_BIT = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
 OP11_SQL = f"""
-WITH RECURSIVE crcs AS (
-  SELECT doc_id, encode(CAST(doc_id AS VARCHAR)) AS b, 0 AS k, 4294967295::BIGINT AS c FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
-  UNION ALL
-  SELECT doc_id, b, k + 1, CASE WHEN k % 9 = 0 THEN xor(c, ascii(substr(CAST(doc_id AS VARCHAR), k // 9 + 1, 1))::BIGINT) ELSE {_SQL_BIT} END
-  FROM crcs WHERE k < 9 * octet_length(b)),
-hit AS (SELECT doc_id, xor(c, 4294967295) % 7 = 0 AS hit FROM crcs WHERE k = 9 * octet_length(b)),
+WITH RECURSIVE {sql_crc32('SELECT DISTINCT doc_id AS id FROM documents WHERE doc_id IS NOT NULL', 'crcs')},
+hit AS (SELECT id AS doc_id, crc % 7 = 0 AS hit FROM crcs),
 hashed AS (SELECT d.doc_id, lang, {_sql_leaf('n_chars')} AS leaf,
   CASE WHEN hit AND n_chars IS NOT NULL THEN {_sql_leaf('n_chars + 1')} ELSE {_sql_leaf('n_chars')} END AS tampered
   FROM documents d LEFT JOIN hit USING (doc_id)),
