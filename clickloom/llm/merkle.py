@@ -9,11 +9,13 @@ appends the siblings and folds its (possibly tampered) digest with them.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickloom.llm.common import ranked, sql_crc32, table, written
 
-STEP = 8
+STEP = 10
 FAN = 1 << STEP
 TOP = ""
 #: Climbing rows that meet at one copy of a stored node; nodes above more leaves are stored in several copies.
@@ -27,20 +29,19 @@ def field(value: Column) -> Column:
 
 
 def leaves(docs: DataFrame) -> DataFrame:
-    """(tree, doc_id, leaf, tampered) for every row. ``tampered`` is the digest with n_chars one higher where 7 divides
-    crc32(doc_id), else ``leaf``; null doc_ids are never tampered with, and a null n_chars stays null.
+    """(tree, doc_id, hash, changed) for every row. ``changed`` is the digest with n_chars one higher where 7 divides
+    crc32(doc_id), else null; null doc_ids are never tampered with, and a null n_chars stays null.
 
     ``tree`` is ``-`` for a null language and ``=`` before any other, so that its byte order has null first.
     """
     def digest(n_chars: Column) -> Column:
-        return F.sha2(F.concat(field(F.col("doc_id")), field(F.col("source")), field(F.col("lang")), field(n_chars),
-                               field(F.col("text"))), 256)
+        return F.unhex(F.sha2(F.concat(field(F.col("doc_id")), field(F.col("source")), field(F.col("lang")), field(n_chars),
+                                       field(F.col("text"))), 256))
 
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
-    rows = docs.select("doc_id", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")).alias("tree"),
-                       digest(F.col("n_chars")).alias("leaf"),
+    return docs.select("doc_id", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")).alias("tree"),
+                       digest(F.col("n_chars")).alias("hash"),
                        F.when(hit & F.col("n_chars").isNotNull(), digest(F.col("n_chars") + 1)).alias("changed"))
-    return rows.select("tree", "doc_id", "leaf", F.coalesce("changed", "leaf").alias("tampered"))
 
 
 def _halved(digests: Column, top: Column) -> Column:
@@ -51,95 +52,102 @@ def _halved(digests: Column, top: Column) -> Column:
 
 
 def _blocks(nodes: DataFrame) -> DataFrame:
-    """Blocks of at most ``FAN`` neighbours (columns tree, width, pos, hash, leaves) with all levels inside, one row each."""
+    """Blocks of at most ``FAN`` neighbours (columns tree, width, pos, hash and those of ``_NODE``), one row each.
+
+    ``rows`` has every node with its ``path``, the siblings up to the block's own digest ``up_hash``.
+    """
     blocks = nodes.groupBy("tree", "width", F.shiftright("pos", STEP).alias("up_pos")).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "hash"))).alias("kids"), F.sum("leaves").alias("up_leaves"))
-    blocks = blocks.withColumn("level_0", F.col("kids.hash"))
+        F.sort_array(F.collect_list(F.struct("pos", "hash", "leaves", "doc_id", "changed"))).alias("kids"), F.sum("leaves").alias("up_leaves"))
+    blocks = blocks.withColumn("level_0", F.transform("kids", lambda kid: F.lower(F.hex(kid["hash"]))))
     top = F.col("width") <= FAN
     for j in range(STEP):
         blocks = blocks.withColumn(f"level_{j + 1}", _halved(F.col(f"level_{j}"), top))
 
     def step(i: Column, j: int) -> Column:
         at = F.floor(i / (1 << j)).cast("int")
-        return F.struct(F.get(F.col(f"level_{j}"), at.bitwiseXOR(F.lit(1))).alias("hash"), (at % 2 == 1).alias("left"),
+        return F.struct(F.unhex(F.get(F.col(f"level_{j}"), at.bitwiseXOR(F.lit(1)))).alias("hash"), (at % 2 == 1).alias("left"),
                         (~top | (F.size(f"level_{j}") > 1)).alias("live"))
 
     rows = F.transform("kids", lambda kid, i: F.struct(
-        kid["pos"].alias("pos"), kid["hash"].alias("hash"),
+        *[kid[c].alias(c) for c in ("pos", "hash", "leaves", "doc_id", "changed")],
         F.filter(F.array(*[step(i, j) for j in range(STEP)]), lambda s: s["live"]).alias("path")))
-    return blocks.select("tree", "width", "up_pos", "up_leaves", F.get(f"level_{STEP}", F.lit(0)).alias("up_hash"),
+    return blocks.select("tree", "width", "up_pos", "up_leaves", F.unhex(F.get(f"level_{STEP}", F.lit(0))).alias("up_hash"),
                          rows.alias("rows"))
 
 
-def build(placed: DataFrame) -> DataFrame:
-    """All stored node rows above ``placed`` (tree, pos, width, hash): (tree, level, pos, path, leaves) with the parent
-    (up_tree, up_level, up_pos, up_hash, up_leaves). The row of the whole table's root is not stored: its up_tree is null.
-
-    One pass for every ``STEP`` halvings of the widest language and of the list of languages.
-    """
-    stored, level, nodes = [], 0, placed.select("tree", "width", "pos", "hash", F.lit(1).cast("long").alias("leaves"))
-    tops: list[DataFrame] = []
-    in_top = False
+def _levels(nodes: DataFrame) -> list[DataFrame]:
+    """Stored blocks of every ``STEP`` levels of the trees of ``nodes``: one pass each, until the widest tree has its root."""
+    stored = []
     while True:
         blocks = written(_blocks(nodes), "merkle-blocks")
-        rows = blocks.select("tree", "width", "up_pos", "up_hash", "up_leaves", F.explode("rows").alias("r")).select(
-            "tree", F.lit(level).alias("level"), F.col("r.pos").alias("pos"), F.col("r.path").alias("path"),
-            F.lit(in_top).alias("in_top"), (F.col("width") <= FAN).alias("last"), "up_pos", "up_hash", "up_leaves")
-        stored.append(rows)
-        ended = blocks.where(F.col("width") <= FAN).select("tree", F.col("up_hash").alias("hash"), F.col("up_leaves").alias("leaves"))
-        going = blocks.where(F.col("width") > FAN).select(
+        stored.append(blocks)
+        nodes = blocks.where(F.col("width") > FAN).select(
             "tree", F.ceil(F.col("width") / FAN).alias("width"), F.col("up_pos").alias("pos"), F.col("up_hash").alias("hash"),
-            F.col("up_leaves").alias("leaves"))
-        if not in_top:
-            tops.append(ended)
-        if not going.isEmpty():
-            nodes, level = going, level + 1
-            continue
-        if in_top:
-            break
-        every = tops[0]
-        for more in tops[1:]:
-            every = every.unionByName(more)
-        roots = written(ranked(every.select(F.lit(TOP).alias("whole"), "tree", "hash", "leaves"), ["whole"], [F.col("tree")], "merkle-roots"),
-                        "merkle-tops")
-        if roots.isEmpty():
-            break
-        nodes = roots.select(F.col("whole").alias("tree"), "width", F.col("rank").alias("pos"), "hash", "leaves")
-        level, in_top = 0, True
-    rows = stored[0]
-    for more in stored[1:]:
-        rows = rows.unionByName(more)
-    places = roots.select(F.col("tree"), F.col("rank").alias("top_pos"))
-    linked = rows.where("last AND NOT in_top").join(F.broadcast(places) if _few(places) else places, "tree").withColumn(
-        "up_tree", F.lit(TOP)).withColumn("up_level", F.lit(0)).withColumn("up_pos", F.col("top_pos")).drop("top_pos")
-    rest = rows.where("in_top OR NOT last").withColumn(
-        "up_tree", F.when(~(F.col("in_top") & F.col("last")), F.col("tree"))).withColumn("up_level", F.col("level") + 1)
-    return written(linked.unionByName(rest).drop("in_top", "last"), "merkle-nodes")
-
-
-def _few(rows: DataFrame, bound: int = 10_000) -> bool:
-    return rows.limit(bound + 1).count() <= bound
-
-
-#: Climb from row to parent row. ``siblings`` are joined raw digests, in order; a crossing into the top tree yields the subroot.
-CLIMB = """
+            F.col("up_leaves").alias("leaves"), F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("changed"))
+        if nodes.isEmpty():
+            return stored
+
+
+def _copies(leaves: Column) -> Column:
+    return F.ceil(leaves / MEET).cast("long")
+
+
+def _linked(blocks: DataFrame, level: int, places: DataFrame) -> DataFrame:
+    """Node rows of a level with their parents: in the same tree, or (with ``places`` of the trees' roots) in the top tree."""
+    last = F.col("width") <= FAN
+    linked = blocks.withColumn("end", F.when(last, F.col("tree"))).join(places, "end", "left")
+    return linked.select(
+        "tree", F.explode("rows").alias("r"), F.when(last, F.col("top_tree")).otherwise(F.col("tree")).alias("up_tree"),
+        F.when(last, F.lit(0)).otherwise(F.lit(level + 1)).alias("up_level"),
+        F.when(last, F.col("top_pos")).otherwise(F.col("up_pos")).alias("up_pos"), "up_hash", _copies(F.col("up_leaves")).alias("up_copies"),
+    ).select("r.*", "tree", F.lit(level).alias("level"), "up_tree", "up_level", "up_pos", "up_hash", "up_copies")
+
+
+def build(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Node rows of the leaves, and of all stored levels above in as many copies as are to meet there.
+
+    A row has tree, level, pos, its path to the parent row (up_tree, up_level, up_pos) and that row's digest. The row of the root of
+    all has no parent; its digest is the up_hash of rows whose up_tree is null.
+    """
+    nothing = F.lit(None).cast("string")
+    low = _levels(placed)
+    tops = reduce(DataFrame.unionByName, [b.where(F.col("width") <= FAN).select(
+        "tree", F.col("up_hash").alias("hash"), F.col("up_leaves").alias("leaves")) for b in low])
+    roots = written(ranked(tops.withColumn("whole", F.lit(TOP)), ["whole"], [F.col("tree")], "merkle-roots"), "merkle-tops")
+    high = _levels(roots.select(F.col("whole").alias("tree"), "width", F.col("rank").alias("pos"), "hash", "leaves",
+                                F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("changed")))
+    places = roots.select(F.col("tree").alias("end"), F.lit(TOP).alias("top_tree"), F.col("rank").alias("top_pos"))
+    nowhere = places.select("end", nothing.alias("top_tree"), F.lit(None).cast("long").alias("top_pos")).limit(0)
+    above = [_linked(b, k + 1, places) for k, b in enumerate(low[1:])] + [_linked(b, k, nowhere) for k, b in enumerate(high)]
+    nodes = reduce(DataFrame.unionByName, above).drop("doc_id", "changed", "hash").withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), _copies(F.col("leaves")) - 1))).drop("leaves")
+    return _linked(low[0], 0, places), written(nodes, "merkle-nodes")
+
+
+#: Climb from row to parent row; a leaf's own row is the first. ``siblings`` are joined raw digests, in order; the way into the
+#: top tree yields the subroot, the way out of it the root.
+_FOLD = """unhex(aggregate({path}, lower(hex({start})), (h, p) -> sha2(CASE WHEN p.hash IS NULL THEN h
+      WHEN p.left THEN concat(lower(hex(p.hash)), h) ELSE concat(h, lower(hex(p.hash))) END, 256)))"""
+_SIBLINGS = "aggregate({path}, CAST({start} AS BINARY), (a, p) -> concat(a, coalesce(p.hash, X'')))"
+CLIMB = f"""
 WITH RECURSIVE climb AS (
-  SELECT doc_id, leaf, folded, CAST(X'' AS BINARY) AS siblings, CAST(NULL AS STRING) AS subroot, CAST(NULL AS STRING) AS root,
-    tree, level, pos, part, seed FROM {starts}
+  SELECT doc_id, hash AS leaf, {_FOLD.format(path='path', start='coalesce(changed, hash)')} AS folded,
+    {_SIBLINGS.format(path='path', start="X''")} AS siblings, CASE WHEN up_tree = '{TOP}' THEN up_hash END AS subroot,
+    CASE WHEN up_tree IS NULL THEN up_hash END AS root, up_tree, up_level, up_pos, xxhash64(tree, pos) AS seed, up_copies
+  FROM {{leaves}}
   UNION ALL
-  SELECT c.doc_id, c.leaf,
-    aggregate(n.path, c.folded, (h, p) -> sha2(CASE WHEN p.hash IS NULL THEN h WHEN p.left THEN concat(p.hash, h)
-      ELSE concat(h, p.hash) END, 256)),
-    CAST(concat(c.siblings, unhex(array_join(transform(n.path, p -> coalesce(p.hash, '')), ''))) AS BINARY),
-    CASE WHEN n.tree <> '' AND n.up_tree = '' THEN n.up_hash ELSE c.subroot END,
-    CASE WHEN n.up_tree IS NULL THEN n.up_hash END,
-    n.up_tree, n.up_level, n.up_pos, c.seed % n.up_copies, c.seed
-  FROM climb c JOIN {nodes} n ON c.tree = n.tree AND c.level = n.level AND c.pos = n.pos AND c.part = n.part
+  SELECT c.doc_id, c.leaf, {_FOLD.format(path='n.path', start='c.folded')}, {_SIBLINGS.format(path='n.path', start='c.siblings')},
+    CASE WHEN n.tree <> '{TOP}' AND n.up_tree = '{TOP}' THEN n.up_hash ELSE c.subroot END,
+    CASE WHEN n.up_tree IS NULL THEN n.up_hash END, n.up_tree, n.up_level, n.up_pos, c.seed, n.up_copies
+  FROM climb c JOIN {{nodes}} n
+    ON c.up_tree = n.tree AND c.up_level = n.level AND c.up_pos = n.pos AND pmod(c.seed, c.up_copies) = n.part
 )
-SELECT doc_id, leaf, subroot, root, sha2(lower(hex(siblings)), 256) AS proof_sha256, folded AS folded_root, folded = root AS verified
+SELECT doc_id, lower(hex(leaf)) AS leaf, lower(hex(subroot)) AS subroot, lower(hex(root)) AS root,
+  sha2(lower(hex(siblings)), 256) AS proof_sha256, lower(hex(folded)) AS folded_root, folded = root AS verified
 FROM climb WHERE root IS NOT NULL
 """
 
+
 def manifest(docs: DataFrame) -> DataFrame:
     """(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified) for every row of ``docs``.
 
@@ -149,27 +157,13 @@ def manifest(docs: DataFrame) -> DataFrame:
     the root has no hot key.
     """
     spark = docs.sparkSession
-    placed = written(ranked(leaves(docs), ["tree"], [F.col("doc_id"), F.col("leaf")], "merkle-leaves"), "merkle-places")
-    nodes = build(placed.select("tree", "width", F.col("rank").alias("pos"), F.col("leaf").alias("hash")))
-
-    def copies(leaves: Column) -> Column:
-        return F.ceil(leaves / MEET).cast("long")
-
-    up = nodes.select(F.col("up_tree").alias("tree"), F.col("up_level").alias("level"), F.col("up_pos").alias("pos"),
-                      F.col("up_leaves").alias("leaves")).where("tree IS NOT NULL").distinct()
-    nodes = nodes.withColumn("up_copies", copies(F.col("up_leaves"))).drop("up_leaves")
-    lowest = nodes.where("tree <> '' AND level = 0").withColumn("part", F.lit(0).cast("long"))
-    higher = nodes.where("tree = '' OR level > 0").join(up, ["tree", "level", "pos"]).withColumn(
-        "part", F.explode(F.sequence(F.lit(0).cast("long"), copies(F.col("leaves")) - 1))).drop("leaves")
-    stored = written(lowest.unionByName(higher), "merkle-rows")
-    starts = placed.select("doc_id", "leaf", F.col("tampered").alias("folded"), "tree", F.lit(0).alias("level"),
-                           F.col("rank").alias("pos"), F.lit(0).cast("long").alias("part"),
-                           F.pmod(F.xxhash64("rank", "tree"), F.lit(1 << 40)).alias("seed"))
+    placed = ranked(leaves(docs), ["tree"], [F.col("doc_id"), F.col("hash")], "merkle-leaves")
+    starts, nodes = build(placed.withColumn("leaves", F.lit(1).cast("long")).withColumnRenamed("rank", "pos"))
     limit = "spark.sql.cteRecursionRowLimit"  # bounds runaway queries; every climb ends at the root
     before = spark.conf.get(limit)
     spark.conf.set(limit, "-1")
     try:
-        return written(spark.sql(CLIMB, starts=starts, nodes=stored), "merkle-proofs")
+        return written(spark.sql(CLIMB, leaves=starts, nodes=nodes), "merkle-proofs")
     finally:
         spark.conf.set(limit, before)
 
