@@ -9,6 +9,7 @@ from clickloom.llm.merkle import OP11_SQL, op11_merkle_manifest
 from clickloom.llm.mixing import op10_mixing
 from clickloom.llm.near_dedup import op3_near_dedup
 from clickloom.llm.packing import op7_best_fit_packing
+from clickloom.llm.personal_data import op13_personal_data
 from clickloom.llm.prefix_trie import OP12_SQL, op12_prefix_trie
 from clickloom.llm.quality_classifier import op5_quality_classifier
 from clickloom.llm.quality_rules import OP8_SQL, op8_quality_rules
@@ -29,6 +30,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_prefix_trie": op12_prefix_trie,
+    "op13_personal_data": op13_personal_data,
     "pipeline": pipeline,
 }
 
