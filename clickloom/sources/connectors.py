@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from clickloom.functions.identity import event_key
+from clickloom.sources.growing import follow
 
 TYPES = ("file", "kinesis", "dynamodb")
 
@@ -61,9 +62,19 @@ def read_lines(spark: SparkSession, config: Mapping) -> DataFrame:
     return reader.load(config["file_path"])
 
 
+def _is_file(config: Mapping) -> bool:
+    return not config.get("pattern") and bool(os.path.splitext(config["file_path"])[1])
+
+
 def stream_lines(spark: SparkSession, config: Mapping) -> DataFrame:
-    """A stream of lines. Files must arrive whole (rotated files are new files); all shards of a stream are read."""
+    """A stream of lines; all shards of a stream are read.
+
+    A file path that names a single file (it has a suffix and no ``pattern`` is set), or ``follow`` in the configuration, is
+    followed by byte offsets as it grows and is rotated. Files of other folders must arrive whole, under new names.
+    """
     kind = source_type(config)
+    if kind == "file" and config.get("follow", _is_file(config)):
+        return follow(spark, config["file_path"], config.get("pattern"), **config.get("follow_options", {}))
     if kind == "file":
         reader = spark.readStream.format("text").option("maxFilesPerTrigger", config.get("max_files_per_trigger", 1000))
         if config.get("pattern"):
