@@ -21,7 +21,7 @@ from clickloom.sources.adapter import metric_points
 from clickloom.sources.connectors import write_stream
 from clickloom.sources.metrics import put_points, read_points
 from clickloom.streaming.alarms import process_points, start_alarms, summary_points
-from clickloom.streaming.attribution import start_attribution
+from clickloom.streaming.attribution import read_links, start_attribution
 from clickloom.streaming.gold import (campaign_metrics, compact_gold, minute_windows, read_gold, refresh_gold, sliding_hour,
                                       start_gold, write_campaign_metrics)
 from clickloom.streaming.ingest import Tables, ingest_batch, progress_metrics, start_ingest
@@ -274,7 +274,7 @@ def test_attribution_stream_equals_batch(spark, tmp_path, sf_dir):
     q = start_attribution(spark, tables, path, NOW, keys=("user_id",))
     q.awaitTermination(120)
     assert q.exception() is None
-    got = {r.event_id: r.touch.id if r.touch else None for r in spark.read.parquet(path).collect()}
+    got = {r.event_id: r.touch.id if r.touch else None for r in read_links(spark, path).collect()}
     expected = {r.conversion_id: r.click_id for r in attribute_conversions(events, ("user_id",)).collect()}
     assert got == expected and any(expected.values())
 
