@@ -8,6 +8,20 @@ from clickloom.schema import RAW_EVENT
 
 CORRUPT = "_corrupt_record"
 _PARSED = T.StructType(RAW_EVENT.fields + [T.StructField(CORRUPT, T.StringType(), True)])
+_TEXT = "_text_"
+_TEXTS = T.StructType([T.StructField(f.name, T.StringType(), True) for f in RAW_EVENT.fields] + [T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def _from_text(field: T.StructField) -> Column:
+    """A field of a line with some field of another type than ours: numbers may be text or have a fraction (which is cut off
+    where ours are whole); what is no number at all is null."""
+    text = F.col(_TEXT + field.name)
+    if isinstance(field.dataType, T.StringType):
+        return text
+    if isinstance(field.dataType, T.DoubleType):
+        value = text.try_cast("double")
+        return F.when(F.abs(value) < float("inf"), value)
+    return text.try_cast("decimal(38,6)").try_cast(field.dataType)
 
 
 def _line_class() -> Column:
@@ -25,13 +39,20 @@ def _line_class() -> Column:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Parse every line once; keeps the raw text and its class next to the 36 event fields.
 
+    Only what is no JSON object is malformed. A line with a field of another type is parsed again, with all fields as text.
+
     The parsed struct goes through a generator, not a projection: a filter on its fields cannot be pushed below that,
     where the parser would be run again for every field the filter names.
     """
     parsed = F.from_json("raw_line", _PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    texts = F.from_json("raw_line", _TEXTS, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    strict = F.col(CORRUPT).isNull()
     return (
         lines.select(F.trim(F.col(column), F.lit(" \t\r\n")).alias("raw_line"))
         .select("raw_line", F.inline(F.array(parsed)))
+        .select("*", F.inline(F.array(F.when(~strict, texts))).alias(*[_TEXT + f.name for f in _TEXTS.fields]))
+        .select("raw_line", F.when(~strict, F.col(_TEXT + CORRUPT)).alias(CORRUPT),
+                *[F.when(strict, F.col(f.name)).otherwise(_from_text(f)).alias(f.name) for f in RAW_EVENT.fields])
         .select("raw_line", _line_class().alias("line_class"), *[f.name for f in RAW_EVENT.fields])
     )
 

@@ -64,9 +64,11 @@ def _compacted_to(spark: SparkSession, path: str) -> int | None:
     return max((int(f.getPath().getParent().getName().removeprefix("upto=")) for f in found or []), default=None)
 
 
-def read_gold(spark: SparkSession, path: str) -> DataFrame:
-    """The counters so far: the newest compacted sums plus the partial sums of later batches."""
+def read_gold(spark: SparkSession, path: str, last_batch: int | None = None) -> DataFrame:
+    """The counters so far (or up to a batch): the newest compacted sums plus the partial sums of later batches."""
     partial = spark.read.parquet(f"{path}/partial")
+    if last_batch is not None:
+        partial = partial.where(F.col("batch") <= last_batch)
     upto = _compacted_to(spark, path)
     if upto is not None:
         whole = spark.read.parquet(f"{path}/whole/upto={upto}")
@@ -75,10 +77,27 @@ def read_gold(spark: SparkSession, path: str) -> DataFrame:
     return partial.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in _SUMS])
 
 
-def compact_gold(spark: SparkSession, path: str) -> int:
-    """Sum all batches so far into one folder and return the last of them. Old folders may then be deleted."""
-    upto = spark.read.parquet(f"{path}/partial").agg(F.max("batch")).first()[0]
-    read_gold(spark, path).write.mode("overwrite").parquet(f"{path}/whole/upto={upto}")
+def _committed(spark: SparkSession, path: str, checkpoint: str) -> int | None:
+    """The last batch that the stream has committed and whose partial sums are whole."""
+    def numbers(pattern: str) -> list[str]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+        found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder)
+        return [str(f.getPath()) for f in found or []]
+
+    done = {int(p.rsplit("/", 1)[1]) for p in numbers(f"{checkpoint}/commits/*") if p.rsplit("/", 1)[1].isdigit()}
+    whole = {int(p.rsplit("batch=", 1)[1].split("/")[0]) for p in numbers(f"{path}/partial/batch=*/_SUCCESS")}
+    return max(done & whole, default=None)
+
+
+def compact_gold(spark: SparkSession, path: str, checkpoint: str) -> int | None:
+    """Sum all committed batches into one folder and return the last of them. Old folders may then be deleted.
+
+    A batch that is being written, or that would be written again after a failure, is not in the stream's commit log yet:
+    its part stays a partial sum, however much of it is there. The next compaction takes it.
+    """
+    upto = _committed(spark, path, checkpoint)
+    if upto is not None and upto != _compacted_to(spark, path):
+        read_gold(spark, path, upto).write.mode("overwrite").parquet(f"{path}/whole/upto={upto}")
     return upto
 
 

@@ -259,3 +259,17 @@ def test_retention_report(spark):
     rows = raw(spark, event(at=0), event(at=29 * DAY_MS), event(at=31 * DAY_MS))
     report = {r.policy: r.live_rows for r in layout.retention_report(rows, F.lit(31 * DAY_MS)).collect()}
     assert report == {"events": 2, "dedup_ids": 2, "minute_metrics": 1, "campaign_counters": 2, "realtime_cache": 1}
+
+
+def test_numbers_of_another_type_are_no_errors(spark):
+    lines = [
+        '{"event_id":"a","timestamp":1704067200000.0}', '{"event_id":"b","timestamp":"1704067200000","click_position_x":12.5}',
+        '{"event_id":"c","timestamp":1704067200000,"revenue_usd":"1.5","bid_price_usd":"none","win_price_usd":"NaN","country":7}',
+        '{"event_id":"d","timestamp":1704067200000,"click_position_y":true,"city":{"x":1}}', '{"event_id":"e","timestamp":1e99}', '[1', '7']
+    parsed = parsing.parse_lines(spark.createDataFrame([(x,) for x in lines], "value string"))
+    rows = {r.event_id: r for r in parsed.collect()}
+    assert [r.line_class for r in parsed.collect()] == ["event"] * 5 + ["malformed"] * 2
+    assert all(rows[k].timestamp == 1704067200000 for k in "abcd") and rows["e"].timestamp is None
+    assert rows["b"].click_position_x == 12 and rows["d"].click_position_y is None and rows["d"].city == '{"x":1}'
+    assert (rows["c"].revenue_usd, rows["c"].bid_price_usd, rows["c"].win_price_usd, rows["c"].country) == (1.5, None, None, "7")
+    assert sorted(r.reason for r in parsing.quarantined(parsed).collect()) == ["malformed", "malformed", "no_timestamp"]
