@@ -28,6 +28,7 @@ _ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?
 _PART = re.compile(r"[a-z0-9]+")
 
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg")
+_RAW_END = {tag: re.compile(f"</{tag}", re.IGNORECASE | re.ASCII) for tag in RAW}
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
 BLOCKS = frozenset((
     "address", "article", "aside", "blockquote", "body", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption",
@@ -109,7 +110,7 @@ def page_lines(page: str) -> list[tuple[str, bool, bool, int]]:
         words.clear()
         state["linked"] = 0
 
-    at, lower = 0, None
+    at = 0
     while True:
         found = _TOKEN.search(page, at)
         if found is None:
@@ -126,9 +127,8 @@ def page_lines(page: str) -> list[tuple[str, bool, bool, int]]:
         if tag == "a":
             state["link"] = 0 if found["close"] else 1
         if tag in RAW and not found["close"]:
-            lower = lower if lower is not None else page.lower()
-            stop = lower.find(f"</{tag}", at)
-            at = len(page) if stop < 0 else stop
+            stop = _RAW_END[tag].search(page, at)  # on the page itself: lower case may be longer
+            at = stop.start() if stop else len(page)
             words.append(" ")
             continue
         block = tag in BLOCKS

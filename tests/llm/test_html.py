@@ -62,3 +62,10 @@ def test_all_pages_of_the_table(spark, sf_dir):
         article = page.html.split("<article>")[1].split("</article>")[0]
         blocks = (" ".join(html.unescape(re.sub(r"<[^>]*>", " ", b)).split()) for b in re.split(r"</?(?:p|h1)>", article))
         assert got[page.page_id].text == "\n".join(b for b in blocks if b) and got[page.page_id].n_chars == len(got[page.page_id].text)
+
+
+def test_letters_whose_lower_case_is_longer_move_nothing():
+    for tag in ("script", "style", "noscript", "template", "textarea", "title", "iframe", "svg"):
+        page = f"<article><p>{'İ' * 12}</p><{tag}>secret()</{tag.upper()}><p>end</p><{tag.upper()}>x</{tag}>tail</article>"
+        assert main_text(page) == f"{'İ' * 12}\nend\ntail", tag
+    assert main_text("<article><p>a</p><script>x</ſcript></script><p>b</p></article>") == "a\nb"
