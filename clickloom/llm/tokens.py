@@ -123,6 +123,20 @@ class Tokens:
         outside = starts[(nth < 0) | (starts >= end[nth])]
         return np.unique(np.concatenate([outside, begin, end[end < len(body)]]))
 
+    def located(self, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, body: bytes) -> np.ndarray:
+        """Slots of units (at most half as many as there are slots), after encoding those that are new."""
+        slots = self.find(keys)
+        if (slots < 0).any():
+            fresh, at = np.unique(keys[slots < 0], return_index=True)
+            if self.filled + len(fresh) > self.slots // 2:
+                self.clear()
+                fresh, at = np.unique(keys, return_index=True)
+            else:
+                at = np.flatnonzero(slots < 0)[at]
+            self.learn(fresh, [body[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+            slots = self.find(keys)
+        return slots
+
     def encode(self, column: pa.Array):
         """Yield (first row, last row + 1, ids, offsets of the rows in the ids) for runs of rows; every row ends with END_ID."""
         for first, last, data, offsets in runs(column):
@@ -131,26 +145,18 @@ class Tokens:
             ends = np.append(starts[1:], len(data))
             rows = np.searchsorted(offsets, starts, "right") - 1
             keys = Prefix(data).spans(starts, ends) | np.uint64(1)
-            slots = self.find(keys)
-            if (slots < 0).any():
-                fresh, at = np.unique(keys[slots < 0], return_index=True)
-                if self.filled + len(fresh) > self.slots // 2:
-                    self.clear()
-                    fresh, at = np.unique(keys, return_index=True)
-                else:
-                    at = np.flatnonzero(slots < 0)[at]
-                if len(fresh) > self.slots // 2:
-                    raise ValueError("more distinct units in one run than the tables hold; raise slots")
-                self.learn(fresh, [body[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-                slots = self.find(keys)
-            counts = self.count[slots].astype(np.int64)
+            counts, pieces = np.empty(len(keys), np.int64), []
+            for a in range(0, len(keys), self.slots // 2):  # the tables hold the units of one part, however long the run
+                part = slice(a, a + self.slots // 2)
+                slots = self.located(keys[part], starts[part], ends[part], body)
+                counts[part] = held = self.count[slots].astype(np.int64)
+                before = np.cumsum(held) - held
+                pieces.append(self.pool[np.arange(int(held.sum())) + np.repeat(self.first[slots].astype(np.int64) - before, held)])
             per_row = np.bincount(rows, weights=counts, minlength=last - first).astype(np.int64) + 1
             bounds = np.concatenate([[0], np.cumsum(per_row)])
             out = np.empty(int(bounds[-1]), np.uint32)
-            before = np.cumsum(counts) - counts
-            where = np.arange(int(counts.sum()))
-            source = where + np.repeat(self.first[slots].astype(np.int64) - before, counts)
-            out[where + np.repeat(rows, counts)] = self.pool[source]
+            if pieces:
+                out[np.arange(int(counts.sum())) + np.repeat(rows, counts)] = np.concatenate(pieces)
             out[bounds[1:] - 1] = END_ID
             yield first, last, out, bounds
 

@@ -129,3 +129,10 @@ def test_pieces_are_packed_without_gaps(spark, coder):
         expected += [(i, k, a, b - a, zlib.crc32(np.array(ids[a:b], "<u4").tobytes())) for k, (a, b) in enumerate(zip(cuts, cuts[1:]))]
     assert sorted((tuple(r)[:5] for r in got), key=repr) == sorted(expected, key=repr)
     assert rows_of(pack(frame(spark, []))) == []
+
+
+def test_runs_with_more_units_than_the_tables_hold():
+    small = Tokens(default_path(), slots=1 << 8)
+    texts = [" ".join(f"w{k}" for k in range(3000)), None, " ".join(f"v{k % 70}" for k in range(2000)) + "\n\nend", ""]
+    got = [ids[a:b].tolist() for _, _, ids, at in small.encode(pa.array(texts, pa.string())) for a, b in zip(at[:-1], at[1:])]
+    assert got == [library_ids(small, t) for t in texts]
