@@ -320,14 +320,14 @@ def report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     return joined.mapInArrow(work, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """The documents without their repeated passages (``n_chars`` follows); bytes of a character that was cut in two go too.
 
     Documents of which nothing is left, but which had text, are dropped.
     """
     others = [c for c in docs.columns if c != "text"]
     rest = F.struct(*[F.col(f"`{c}`") for c in others]).alias("_rest")
-    keyed, spans = repeated_spans(docs.select("doc_id", "text", rest), length, nulls=True)
+    keyed, spans = repeated_spans(docs.select("doc_id", "text", rest), length, gram, nulls=True)
     row = keyed.join(spans, ["t1", "t2"], "left").select("text", "spans", "_rest")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -11,11 +11,14 @@ from clickloom.llm.packing import pack
 from clickloom.llm.quality_rules import clean
 from clickloom.llm.suffix_dedup import remove_repeats
 
+#: Bytes of a repeated passage, and of the grams that find it: fifty words are longer than this in any language of the corpus.
+PASSAGE_BYTES, PASSAGE_GRAM = 200, 64
+
 #: (name, function of (spark, docs, sf_dir)). All but the last return the columns of documents.
 STAGES = [
     ("quality rules", lambda spark, docs, sf_dir: clean(docs)),
     ("near duplicates", lambda spark, docs, sf_dir: drop_near_copies(docs)),
-    ("repeated passages", lambda spark, docs, sf_dir: remove_repeats(docs)),
+    ("repeated passages", lambda spark, docs, sf_dir: remove_repeats(docs, PASSAGE_BYTES, PASSAGE_GRAM)),
     ("source mix", lambda spark, docs, sf_dir: mix(docs)),
     ("packing", lambda spark, docs, sf_dir: pack(docs)),
 ]
