@@ -10,7 +10,7 @@ from clickloom.llm.common import table
 from clickloom.llm.packing import CAPACITY, pack
 from clickloom.llm.queries import QUERIES, SQL
 
-NAMES = {"op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "pipeline"}
+NAMES = {"op1", "op2", "op3", "op4", "op5", "op6", "op7", "op8", "op9", "op10", "op11", "op12", "op13", "pipeline"}
 
 
 def test_everything_is_registered():
