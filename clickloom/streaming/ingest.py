@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from clickloom.functions.clock import event_date
 from clickloom.functions.identity import event_key
 from clickloom.functions.money import revenue
-from clickloom.operators.dedup import dedup, drop_seen
+from clickloom.operators.dedup import dedup
 from clickloom.operators.enrich import enrich
+from clickloom.operators.membership import build_bitmaps, new_ids
 from clickloom.operators.parsing import parse_lines, quarantine_reason
 from clickloom.schema import DAY_MS, DEDUP_TTL_MS, RAW_EVENT
 from clickloom.sources.connectors import stream_lines
@@ -176,32 +177,37 @@ def _make_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
-def ingest_batch(events: DataFrame, path: str, batch_id: int) -> DataFrame:
+def ingest_batch(events: DataFrame, path: str, batch_id: int, arrived_ms: int | None = None) -> DataFrame:
     """Add one batch of raw events to a batch-wise silver table and return its summary row.
 
-    Running a batch again replaces its own partitions and never sees them as earlier ones, so it is safe to retry.
-    Earlier ids are looked up in the last seven days of event dates only.
+    The table is partitioned by the day of arrival first (``arrived_ms``, now by default), and an id is known for seven days from
+    its arrival, whatever the event's own time: those days' ids and bitmaps are read, and no others. Bitmaps of each batch's ids
+    (``<path>_ids``) rule most new ids out before the exact comparison. Running a batch again replaces its own partitions
+    and never sees them as earlier ones, so it is safe to retry; a retry belongs to the day of its first run.
     """
     spark = events.sparkSession
     if events.isEmpty():
         raise ValueError("empty event batch")
+    bitmaps_path = f"{path}_ids"
     named = events.where(F.nullif(F.col("event_id"), F.lit("")).isNotNull() & F.col("timestamp").isNotNull())
     fresh = dedup(enrich(named))
-    if _exists(spark, path):
-        oldest = named.agg(F.min("timestamp")).scalar()
-        seen = (
-            spark.read.parquet(path)
-            .where((F.col("batch") < batch_id)
-                   & (F.col("event_date") >= F.to_date(F.timestamp_millis(oldest - DEDUP_TTL_MS))))
-        )
-        fresh = drop_seen(enrich(named), seen)
+    arrived = F.to_date(F.timestamp_millis(F.lit(arrived_ms)) if arrived_ms is not None else F.current_timestamp())
+    if _exists(spark, path) and _exists(spark, bitmaps_path):
+        again = spark.read.parquet(path).where(F.col("batch") == batch_id).select("arrival_date").first()
+        arrived = F.lit(again.arrival_date) if again else arrived
+        known_days = (F.col("batch") < batch_id) & (F.col("arrival_date") >= F.date_sub(arrived, DEDUP_TTL_MS // DAY_MS))
+        seen = spark.read.parquet(path).where(known_days).select("event_id")
+        bitmaps = spark.read.parquet(bitmaps_path).where(known_days)
+        fresh = fresh.join(new_ids(fresh, seen, bitmaps), "event_id", "left_semi")
     (
-        fresh.withColumns({"batch": F.lit(batch_id), "event_date": event_date()})
+        fresh.withColumns({"arrival_date": arrived, "batch": F.lit(batch_id), "event_date": event_date()})
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch", "event_date").parquet(path)
+        .partitionBy("arrival_date", "batch", "event_date").parquet(path)
     )
     size = events.agg(F.count(F.lit(1))).scalar()
     written = spark.read.parquet(path).where(F.col("batch") == batch_id)
+    (build_bitmaps(written.select("arrival_date", "event_id")).withColumn("batch", F.lit(batch_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("arrival_date", "batch").parquet(bitmaps_path))
     return written.agg(
         F.count(F.lit(1)).alias("processed"),
         F.coalesce(F.sum(revenue("first_nonzero")), F.lit(0)).cast("double").alias("total_revenue"),
