@@ -25,9 +25,6 @@ def day_of_week(ms: str = "timestamp") -> Column:
     return F.weekday(event_time(ms))
 
 
-def bucket_label(grain: str, ms: str = "timestamp") -> Column:
-    return F.date_format(event_time(ms), BUCKET_PATTERNS[grain])
-
 
 def as_of(df: DataFrame, instant: int | Column | None = None, column: str = "timestamp") -> Column:
     """The query's "now", in the column's own unit.

@@ -8,14 +8,11 @@ from clickloom.operators.ordered import slice_rows, with_previous
 from clickloom.schema import DEFAULT_RULES, RULE, SUSTAINED_ALARMS
 
 NO_DATA = "INSUFFICIENT_DATA"
-_MAX_BROADCAST_RULES = 10_000
 
 
 def rules_table(spark: SparkSession, rules=DEFAULT_RULES) -> DataFrame:
-    """Rules listed in code. The list's length is checked, so the table may be broadcast."""
-    if len(rules) > _MAX_BROADCAST_RULES:
-        raise ValueError("keep long rule lists in a table and join that")
-    return F.broadcast(spark.createDataFrame(list(rules), RULE))
+    """Rules listed in code, or a table of them as it is. Spark broadcasts what is small enough."""
+    return rules if isinstance(rules, DataFrame) else spark.createDataFrame(list(rules), RULE)
 
 
 def breaches(value: Column, comparison: Column, threshold: Column) -> Column:
@@ -94,6 +91,18 @@ def active_alerts(states: DataFrame) -> DataFrame:
         "alert_name", "state", "level", "reason", "last_triggered")
 
 
+def dashboard_alerts(states: DataFrame) -> DataFrame:
+    """Every alert as a dashboard lists it, also those that are quiet or lack data."""
+    return states.select("alert_name", "state", "reason", "level", "last_triggered")
+
+
+def system_health(states: DataFrame, points: DataFrame, start_ms: Column, now_ms: Column) -> DataFrame:
+    """One row: overall status, number of active alerts, and the events processed from ``start_ms`` to now."""
+    counted = points.where((F.col("name") == "EventsProcessed") & F.col("timestamp").between(start_ms, now_ms))
+    processed = counted.agg(F.coalesce(F.sum("value"), F.lit(0)).cast("double")).scalar()
+    return overall_health(states).select("overall_status", "active_alerts", processed.alias("total_events_processed"))
+
+
 def sustained_alarms(points: DataFrame, period_ms: int = 300_000, alarms=SUSTAINED_ALARMS) -> DataFrame:
     """Periods in which a mean has breached for the required number of adjoining periods.
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from clickloom.functions.clock import BUCKET_PATTERNS, hour_of_day
 from clickloom.functions.money import REVENUE_MODES, revenue, total, total_cents
 from clickloom.functions.ratios import fraction, guarded_percent, percent_or_null, percent_or_zero
-from clickloom.schema import HOUR_MS
+from clickloom.schema import DEVICE_TYPES, HOUR_MS
 from clickloom.sources.silver import day_column, since
 
 TYPE_COUNTS = (("impressions", "impression"), ("clicks", "click"), ("conversions", "conversion"))
@@ -277,7 +277,7 @@ def top_campaigns_active(hourly: DataFrame, limit: int = 10) -> DataFrame:
 
 def data_quality(events: DataFrame) -> DataFrame:
     """Row, type and device counts, revenue, distinct campaigns and countries, both rates."""
-    devices = [F.count_if(F.col("device_type") == d).alias(f"{d}_events") for d in ("mobile", "desktop", "tablet")]
+    devices = [F.count_if(F.col("device_type") == d).alias(f"{d}_events") for d in DEVICE_TYPES]
     counts = events.agg(
         F.count(F.lit(1)).alias("rows"), *type_counts(), *devices,
         total(revenue()).alias("total_revenue"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clickloom.functions.clock import day_of_week, hour_of_day
 from clickloom.functions.identity import event_key
 from clickloom.functions.money import amount
-from clickloom.schema import ENRICHED_COLUMNS, MONEY, REDUCED_COLUMNS
+from clickloom.schema import ENRICHED_COLUMNS, MONEY
 
 _ZERO_DEFAULTS = ("bid_price_usd", "revenue_usd", "conversion_value_usd")
 
@@ -42,7 +42,3 @@ def enrich(events: DataFrame, columns: tuple[str, ...] = ENRICHED_COLUMNS, extra
     """
     now_ms = F.unix_millis(F.current_timestamp())
     return events.select(*[_enriched(name, now_ms) for name in columns], *extra)
-
-
-def enrich_reduced(events: DataFrame) -> DataFrame:
-    return enrich(events, REDUCED_COLUMNS)

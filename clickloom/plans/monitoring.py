@@ -9,6 +9,7 @@ from clickloom.operators import alerts as al, campaigns as ca, monitoring as mo
 from clickloom.plans.common import events, now, registrar
 from clickloom.schema import DAY_MS
 from clickloom.sources.adapter import metric_points
+from clickloom.streaming.alarms import summary_points
 
 QUERIES: dict = {}
 query = registrar(QUERIES)
@@ -76,6 +77,18 @@ def active_alerts(spark, sf_dir):
     return al.active_alerts(_states(spark, sf_dir))
 
 
+@query
+def dashboard_alerts(spark, sf_dir):
+    return al.dashboard_alerts(_states(spark, sf_dir))
+
+
+@query
+def dashboard_health(spark, sf_dir):
+    """Events processed come as points from the processing records of the batches."""
+    records = summary_points(_batches(spark, sf_dir))
+    return al.system_health(_states(spark, sf_dir), records, F.lit(0), as_of(records))
+
+
 @query
 def sustained_alarms(spark, sf_dir):
     return al.sustained_alarms(metric_points(spark, sf_dir))

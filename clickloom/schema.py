@@ -52,10 +52,8 @@ REDUCED_COLUMNS = (
 
 MONEY_COLUMNS = ("bid_price_usd", "win_price_usd", "revenue_usd", "conversion_value_usd")
 
-# Event types, ad formats, devices.
-EVENT_TYPES = ("impression", "click", "conversion")
-AD_FORMATS = ("banner", "video", "native", "popup")
-DEVICE_TYPES = ("mobile", "desktop", "tablet", "tv")
+# The devices counted in the quality report.
+DEVICE_TYPES = ("mobile", "desktop", "tablet")
 
 METRIC_POINT = T.StructType([
     T.StructField("name", _STRING),

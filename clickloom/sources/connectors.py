@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from clickloom.functions.identity import event_key
 from clickloom.sources.growing import follow
 
+# Fixed values here and in the settings below: source types, names of variables, default names and paths.
 TYPES = ("file", "kinesis", "dynamodb")
 
 

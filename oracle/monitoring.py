@@ -48,6 +48,8 @@ FROM s WHERE state <> old_state""",
     "alarm_current": STATES + "SELECT * FROM states",
     "overall_health": STATES + f"SELECT {_HEALTH} FROM states",
     "active_alerts": STATES + "SELECT alert_name, state, level, reason, last_triggered FROM states WHERE state = 'ALARM'",
+    "dashboard_alerts": STATES + "SELECT alert_name, state, reason, level, last_triggered FROM states",
+    "dashboard_health": STATES + f"SELECT {_HEALTH}, ({ADS} SELECT count(*)::DOUBLE FROM ev) AS total_events_processed FROM states",
     "sustained_alarms": POINTS + """
 , alarms(alert_name, name, periods) AS (VALUES ('HighLatency', 'ProcessingLatency', 2), ('LowThroughput', 'EventsPerSecond', 3)),
 m AS (SELECT name, "timestamp" // 300000 AS period, CAST(sum(value) AS DOUBLE) / count(*) AS mean FROM points GROUP BY 1, 2),
