@@ -22,6 +22,21 @@ def dedup(events: DataFrame, key: str = "event_id", order: tuple[str, ...] = ("t
     return first.select(key, *[F.col(f"_first.{c}").alias(c) for c in wanted])
 
 
+def dedup_few_copies(events: DataFrame, key: str = "event_id", order: tuple[str, ...] = ("timestamp", "ingest_seq"),
+                     most_ids: int = BROADCAST_ROWS) -> DataFrame:
+    """The rows of ``dedup``, for tables in which few ids have copies: only those ids' rows are sorted and shuffled.
+
+    Ids with copies are counted first, from the id column alone and by hash. Rows of all other ids pass through as they are read,
+    by a broadcast anti join while the list of ids is short; a longer list is joined by a shuffle, and then ``dedup``, which
+    folds copies before its shuffle, is the better choice. A null id is an id like any other, as in ``dedup``.
+    """
+    counts = events.groupBy(F.col(key).alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    copied = broadcast_if_small(counts.where("_n > 1").select("_id"), most_ids)
+    same = F.col(key).eqNullSafe(F.col("_id"))
+    alone = events.join(copied, same, "left_anti")
+    return alone.unionByName(dedup(events.join(copied, same, "left_semi"), key, order).select(*events.columns))
+
+
 def dedup_matching(events: DataFrame, condition: Column, key: str = "event_id", columns: tuple[str, ...] | None = None,
                    most_ids: int = BROADCAST_ROWS) -> DataFrame:
     """The rows of ``dedup`` that meet a selective condition, without shuffling the whole table.
