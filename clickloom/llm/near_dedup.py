@@ -10,8 +10,10 @@ Texts with an equal band share a bucket. Copies of a text count once. Within a b
 leader, the text that shares most buckets (the original in a group of copies): as many pairs as texts. Compared means: the share
 of equal samples is at least ``LEAST_SHARE`` (a pair at the threshold misses that once in many millions) and then the exact
 weighted Jaccard similarity of the whole texts is at least ``SIMILARITY``. Where a bucket's texts are then in more than one
-component, all pairs across components are compared, in blocks and by longer sketches of ``SKETCH`` samples of a byte; those whose share of
-equal samples is at least ``SKETCH_SHARE`` are verified as above. So no pair of a bucket is left out, and none is listed that a component
+component, those outside its largest component are compared with more leaders, the best standing texts of that component
+(``LEADERS``: their numbers in the rounds to come): in a group of texts about as alike as the threshold asks for, a leader reaches
+a half, and few stay outside. What is then still in more than one component is compared in all pairs of which one text is outside the
+largest component, in blocks and by longer sketches of ``SKETCH`` samples of a byte; those whose share of equal samples is at least ``SKETCH_SHARE`` are verified as above. So no pair of a bucket is left out, and none is listed that a component
 already covers or that a sketch rules out. A pair of similarity 0.8 shares a bucket with probability 1 - (1 - 0.8^4)^14 > 0.999,
 and its sketch, where it needs one, misses with probability 4e-8.
 """
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from clickloom.llm.common import ship_code, table, written
 from clickloom.llm.graph import components
@@ -35,6 +37,7 @@ LEAST_SHARE = 0.5
 IDF_BITS = 18
 SKETCH, SKETCH_SHARE = 512, 0.70
 BLOCK = 500
+LEADERS = (4, 16, 64)
 _RUN = 1 << 19
 _TABLE = 1 << 16
 
@@ -230,11 +233,18 @@ def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
 def _across(members: DataFrame) -> DataFrame:
     """All pairs of a bucket's members with different roots that may be alike, from blocks of at most twice BLOCK members.
 
-    A bucket of n members has ceil(n / BLOCK) parts; a member goes to the blocks of its part with each part, so hot buckets spread.
+    The n members outside the bucket's largest component make ceil(n / BLOCK) parts, those inside it more. A member outside goes to
+    the blocks of its part with every part, one inside to those of its part with every part outside: two members inside are
+    never compared, and while few are outside, each of the many inside is sent on but once.
     """
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    placed = members.withColumn("parts", parts).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    def parts(size):
+        return F.ceil(size / BLOCK).cast("int")
+
+    outer, inner = parts(F.col("size") - F.col("most")), parts(F.col("most"))
+    inside = F.col("root") == F.col("largest")
+    own = F.pmod(F.xxhash64("id"), F.when(inside, inner).otherwise(outer)).cast("int") + F.when(inside, outer).otherwise(F.lit(0))
+    others = F.sequence(F.lit(0), F.when(inside, outer).otherwise(outer + inner) - 1)
+    placed = members.withColumn("own", own).withColumn("other", F.explode(others))
     blocks = placed.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root", "weight", "sketch")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,22 +308,43 @@ def near_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     shared = written(banded.join(sizes, "bucket"), "near-buckets")
 
     standing = shared.groupBy("id").agg(F.sum("size").alias("standing"))
-    ranked = shared.join(standing, "id").select("bucket", "id", (F.col("standing") * 65536 + F.pmod(F.xxhash64("id"), F.lit(65536))).alias("rank"))
+    ranked = shared.join(standing, "id").select("bucket", "id", _rank().alias("rank"))
     top = ranked.groupBy("bucket").agg(F.max("rank").alias("rank"))
     leader = ranked.join(top, ["bucket", "rank"]).groupBy("bucket").agg(F.min("id").alias("leader"))
     to_leader = shared.join(leader, "bucket").where("id <> leader").select(
         F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
     first = written(verify(written(_alike(to_leader, signed), "near-pairs"), texts, idf), "near-links")
 
-    roots = written(components(first), "near-roots")
-    rooted = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = rooted.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("bucket")
-    members = written(rooted.join(mixed, "bucket").select("bucket", "size", "id", "root"), "near-members")
+    links, compared = first, to_leader
+    for leaders in LEADERS:
+        parted = _parted(shared, links)
+        if parted.isEmpty():
+            return links
+        stood = parted.where("root = largest").join(standing, "id").withColumn("rank", _rank())
+        best = Window.partitionBy("bucket").orderBy(F.desc("rank"), "id")
+        few = stood.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= leaders).select("bucket", F.col("id").alias("leader"))
+        more = parted.where("root <> largest").join(few, "bucket").select(
+            F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+        more = written(more.join(compared, ["a", "b"], "left_anti"), "near-pairs")
+        compared = compared.unionByName(more)
+        links = written(links.unionByName(verify(written(_alike(more, signed), "near-pairs"), texts, idf)), "near-links")
+    members = _parted(shared, links)
     sketches = written(sketch(texts.join(members.select("id").distinct(), "id", "left_semi"), idf), "near-sketches")
-    members = members.join(sketches, "id")
-    across = written(_across(members).join(to_leader, ["a", "b"], "left_anti"), "near-across")
-    second = written(verify(across, texts, idf), "near-links")
-    return first.unionByName(second)
+    across = written(_across(members.join(sketches, "id")).join(compared, ["a", "b"], "left_anti"), "near-across")
+    return links.unionByName(written(verify(across, texts, idf), "near-links"))
+
+
+def _rank():
+    return F.col("standing") * 65536 + F.pmod(F.xxhash64("id"), F.lit(65536))
+
+
+def _parted(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """(bucket, size, id, root, largest, most) of the buckets with several components: the largest and how many members it has there."""
+    roots = written(components(links), "near-roots")
+    rooted = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+    counts = rooted.groupBy("bucket", "size", "root").agg(F.count("*").alias("n")).groupBy("bucket", "size").agg(F.max(F.struct("n", "root")).alias("top"))
+    mixed = counts.where("top.n < size").select("bucket", F.col("top.root").alias("largest"), F.col("top.n").alias("most"))
+    return written(rooted.join(mixed, "bucket").select("bucket", "size", "id", "root", "largest", "most"), "near-members")
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

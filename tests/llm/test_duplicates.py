@@ -103,6 +103,16 @@ def test_blocks_miss_no_pair_across_components(spark, monkeypatch):
     assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(40), brute_groups(rows)))
 
 
+@pytest.mark.parametrize("leaders, block", [((), 3), ((1, 2), 4), ((4, 16, 64), 500)])
+def test_rounds_of_leaders_change_no_group(spark, monkeypatch, leaders, block):
+    """Copies about as alike as the threshold asks for, beside others in the same buckets, with any number of rounds."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "LEADERS", leaders)
+    base, other = prose(32, 90), prose(33, 90)
+    rows = [(k, edited(base if k % 4 else other, k, 1 + k % 2), "", "", 0, 0, "", "", 0, "") for k in range(60)]
+    assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(60), brute_groups(rows)))
+
+
 def test_sketches_miss_less_than_bands():
     n, alike, least = near_dedup.SKETCH, near_dedup.SIMILARITY, math.ceil(near_dedup.SKETCH_SHARE * near_dedup.SKETCH)
     missed = sum(math.comb(n, k) * alike**k * (1 - alike)**(n - k) for k in range(least))
