@@ -37,7 +37,7 @@ LEAST_SHARE = 0.5
 IDF_BITS = 18
 SKETCH, SKETCH_SHARE = 512, 0.70
 BLOCK = 500
-LEADERS = (4, 16, 64)
+LEADERS = (3, 9)
 _RUN = 1 << 19
 _TABLE = 1 << 16
 
