@@ -13,7 +13,9 @@ weighted Jaccard similarity of the whole texts is at least ``SIMILARITY``. Where
 component, those outside its largest component are compared with more leaders, the best standing texts of that component
 (``LEADERS``: their numbers in the rounds to come): in a group of texts about as alike as the threshold asks for, a leader reaches
 a half, and few stay outside. What is then still in more than one component is compared in all pairs of which one text is outside the
-largest component, in blocks and by longer sketches of ``SKETCH`` samples of a byte; those whose share of equal samples is at least ``SKETCH_SHARE`` are verified as above. So no pair of a bucket is left out, and none is listed that a component
+largest component, in blocks and by longer sketches of ``SKETCH`` samples of a byte, each pair in the first bucket that it shares. This lists
+no pairs: only the texts that have a pair with a share of equal samples of at least ``SKETCH_SHARE`` go on, with their whole texts, to blocks
+that verify such pairs and hand on a spanning forest of the links. So no pair of a bucket is left out, and none is verified that a component
 already covers or that a sketch rules out. A pair of similarity 0.8 shares a bucket with probability 1 - (1 - 0.8^4)^14 > 0.999,
 and its sketch, where it needs one, misses with probability 4e-8.
 """
@@ -36,7 +38,7 @@ BANDS, ROWS = 14, 4
 LEAST_SHARE = 0.5
 IDF_BITS = 18
 SKETCH, SKETCH_SHARE = 512, 0.70
-BLOCK = 500
+BLOCK, BLOCK_BYTES = 500, 1 << 22
 LEADERS = (3, 9)
 _RUN = 1 << 19
 _TABLE = 1 << 16
@@ -230,82 +232,140 @@ def _alike(pairs: DataFrame, signed: DataFrame) -> DataFrame:
         (F.least("wa", "wb") >= 0.999 * SIMILARITY * F.greatest("wa", "wb")) & (equal >= LEAST_SHARE * BANDS * ROWS)).select("a", "b")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket's members with different roots that may be alike, from blocks of at most twice BLOCK members.
+def _in_blocks(members: DataFrame, columns: list[str], judge, schema: str) -> DataFrame:
+    """``judge`` over every block of a bucket's members: (bucket, band, id, root, largest, outer, inner, bands, weight, sketch, ``columns``).
 
-    The n members outside the bucket's largest component make ceil(n / BLOCK) parts, those inside it more. A member outside goes to
+    The members outside the bucket's largest component make ``outer`` parts, those inside it ``inner``. A member outside goes to
     the blocks of its part with every part, one inside to those of its part with every part outside: two members inside are
-    never compared, and while few are outside, each of the many inside is sent on but once.
+    never compared, and while few are outside, each of the many inside is sent on but once. ``judge`` gets the rows of whole
+    blocks and yields what it finds.
     """
-    def parts(size):
-        return F.ceil(size / BLOCK).cast("int")
-
-    outer, inner = parts(F.col("size") - F.col("most")), parts(F.col("most"))
     inside = F.col("root") == F.col("largest")
-    own = F.pmod(F.xxhash64("id"), F.when(inside, inner).otherwise(outer)).cast("int") + F.when(inside, outer).otherwise(F.lit(0))
-    others = F.sequence(F.lit(0), F.when(inside, outer).otherwise(outer + inner) - 1)
+    own = F.pmod(F.xxhash64("id"), F.when(inside, F.col("inner")).otherwise(F.col("outer"))).cast("int") + F.when(inside, F.col("outer")).otherwise(F.lit(0))
+    others = F.sequence(F.lit(0), F.when(inside, F.col("outer")).otherwise(F.col("outer") + F.col("inner")) - 1)
     placed = members.withColumn("own", own).withColumn("other", F.explode(others))
-    blocks = placed.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "id", "root", "weight", "sketch")
+    key = ("bucket", "i", "j")
+    blocks = placed.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "band", "id", "root",
+                           "weight", "bands", "sketch", *columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending: list[pa.RecordBatch] = []
-
-        def close(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            ids, roots = rows.column("id").to_pylist(), rows.column("root").to_pylist()
-            codes = {r: k for k, r in enumerate(dict.fromkeys(roots))}
-            root = np.array([codes[r] for r in roots])
-            weight = rows.column("weight").to_numpy()
-            own = rows.column("own").to_numpy()
-            i, j = rows.column("i").to_numpy(), rows.column("j").to_numpy()
-            sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(ids), SKETCH)
-            key = np.stack([rows.column("bucket").to_numpy(), i, j])
-            cut = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
-            a, b = [], []
-            for lo, hi in zip(np.append(0, cut), np.append(cut, len(ids))):
-                if hi - lo < 2 or (root[lo:hi] == root[lo]).all():
-                    continue
-                s, w, r, o = sketches[lo:hi], weight[lo:hi], root[lo:hi], own[lo:hi]
-                for k in range(hi - lo - 1):
-                    ok = (r[k + 1:] != r[k]) & (np.minimum(w[k], w[k + 1:]) >= 0.999 * SIMILARITY * np.maximum(w[k], w[k + 1:]))
-                    if i[lo] != j[lo]:
-                        ok &= o[k + 1:] != o[k]
-                    near = np.flatnonzero(ok)
-                    near = near[(s[k + 1 + near, :64] == s[k, :64]).sum(1) >= LEAST_SHARE * 64]
-                    near = near[(s[k + 1 + near] == s[k]).sum(1) >= SKETCH_SHARE * SKETCH]
-                    for m in (lo + k + 1 + near).tolist():
-                        x, y = ids[lo + k], ids[m]
-                        a.append(min(x, y))
-                        b.append(max(x, y))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key = [batch.column(c).to_numpy() for c in ("bucket", "i", "j")]
-            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in key], axis=0))
+            keys = [batch.column(c).to_numpy() for c in key]
+            change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0))
             last = int(change[-1]) + 1 if len(change) else 0  # the last group may go on in the next batch
-            if pending and any(pending[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in ("bucket", "i", "j")):
-                yield from close(pa.Table.from_batches(pending))
+            if pending and any(pending[-1].column(c)[-1].as_py() != batch.column(c)[0].as_py() for c in key):
+                yield from judge(pa.Table.from_batches(pending))
                 pending = []
             if last:
                 pending.append(batch.slice(0, last))
-                yield from close(pa.Table.from_batches(pending))
+                yield from judge(pa.Table.from_batches(pending))
                 pending = []
             pending.append(batch.slice(last))
         if pending:
-            yield from close(pa.Table.from_batches(pending))
+            yield from judge(pa.Table.from_batches(pending))
+
+    return blocks.repartition(*key).sortWithinPartitions(*key).mapInArrow(work, schema)
+
+
+def _candidates(rows: pa.Table) -> Iterator[tuple[int, int, np.ndarray, int, np.ndarray]]:
+    """(first row of its block, last row + 1, the block's roots, row, later rows that may be alike) for the rows of whole blocks.
+
+    A pair is met in the first of its common buckets only. Writing one root over another in the block's roots spares their pairs.
+    """
+    codes: dict[bytes, int] = {}
+    root = np.array([codes.setdefault(r, len(codes)) for r in rows.column("root").to_pylist()])
+    weight, own, band = (rows.column(c).to_numpy() for c in ("weight", "own", "band"))
+    sketches = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(len(root), SKETCH)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy().reshape(len(root), BANDS)
+    key = np.stack([rows.column(c).to_numpy() for c in ("bucket", "i", "j")])
+    cut = np.flatnonzero(np.any(key[:, 1:] != key[:, :-1], axis=0)) + 1
+    for lo, hi in zip(np.append(0, cut).tolist(), np.append(cut, len(root)).tolist()):
+        r = root[lo:hi]
+        if hi - lo < 2 or (r == r[0]).all():
+            continue
+        s, w, o, c = sketches[lo:hi], weight[lo:hi], own[lo:hi], bands[lo:hi, :band[lo]]
+        for k in range(hi - lo - 1):
+            ok = (r[k + 1:] != r[k]) & (np.minimum(w[k], w[k + 1:]) >= 0.999 * SIMILARITY * np.maximum(w[k], w[k + 1:]))
+            if key[1, lo] != key[2, lo]:
+                ok &= o[k + 1:] != o[k]
+            near = k + 1 + np.flatnonzero(ok)
+            near = near[~((c[near] == c[k]) & (c[k] != 0)).any(axis=1)]
+            near = near[(s[near, :64] == s[k, :64]).sum(1) >= LEAST_SHARE * 64]
+            near = near[(s[near] == s[k]).sum(1) >= SKETCH_SHARE * SKETCH]
+            if len(near):
+                yield lo, hi, r, lo + k, lo + near
+
+
+def _with_candidates(members: DataFrame) -> DataFrame:
+    """(bucket, id) of the members with another of a different root that may be alike: at most one row a member and block."""
+    def judge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(rows.num_rows, bool)
+        for _, _, _, k, near in _candidates(rows):
+            found[k] = True
+            found[near] = True
+        yield from rows.select(["bucket", "id"]).filter(pa.array(found)).to_batches()
+
+    def parts(size):
+        return F.ceil(size / BLOCK).cast("int")
+
+    sized = members.withColumn("outer", parts(F.col("size") - F.col("most"))).withColumn("inner", parts(F.col("most")))
+    return _in_blocks(sized, [], judge, "bucket long, id binary").distinct()
+
+
+def _forest(members: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Links (a, b) between members (with text) of different roots, verified on whole texts within blocks.
+
+    A block hands on a link only where it joins what the block's other links do not, so less than it has members. A block has
+    texts of about twice BLOCK_BYTES, or two longer texts.
+    """
+    packed = idf.tobytes()
+
+    def judge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        idf = np.frombuffer(packed, np.float32)
+        texts, ids = rows.column("text").combine_chunks(), rows.column("id")
+        at, found, a, b = -1, [], [], []
+        for lo, hi, root, k, near in _candidates(rows):
+            if at != lo:
+                at, found = lo, []
+                for _, _, data, offsets in runs(texts.slice(lo, hi - lo), _RUN):
+                    line, shingles, weights = elements(data, offsets, idf)
+                    ends = np.searchsorted(line, np.arange(len(offsets)))
+                    found += [(shingles[x:y], weights[x:y]) for x, y in zip(ends[:-1], ends[1:])]
+            for first in range(0, len(near), 64):
+                some = near[first:first + 64]
+                others = [found[m - lo] for m in some]
+                mine, n = found[k - lo], len(some)
+                one = np.repeat(np.arange(n), len(mine[0])), np.tile(mine[0], n), np.tile(mine[1], n)
+                two = np.repeat(np.arange(n), [len(x) for x, _ in others]), *(np.concatenate(x) for x in zip(*others))
+                for m in some[similarity(one, two, n) >= SIMILARITY].tolist():
+                    if root[m - lo] != root[k - lo]:
+                        root[root == root[m - lo]] = root[k - lo]
+                        a.append(ids[k].as_py())
+                        b.append(ids[m].as_py())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+
+    inside = F.col("root") == F.col("largest")
+
+    def parts(own):
+        rows, size = F.count_if(own), F.coalesce(F.sum(F.when(own, F.octet_length("text"))), F.lit(0))
+        return F.greatest(F.ceil(rows / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
 
-    ordered = blocks.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return ordered.mapInArrow(work, "a binary, b binary").distinct()
+    sized = members.groupBy("bucket").agg(parts(~inside).alias("outer"), parts(inside).alias("inner"))
+    return _in_blocks(members.join(sized, "bucket"), ["text"], judge, "a binary, b binary")
 
 
 def near_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     """Links (a, b) among distinct texts (id, text) whose components are those of all pairs of a bucket that are alike."""
     signed = written(sign(texts, idf), "near-signatures")
     bands = F.array(*[F.xxhash64(F.lit(k), *[F.col("samples")[k * ROWS + i] for i in range(ROWS)]) for k in range(BANDS)])
-    banded = signed.select("id", F.explode(bands).alias("bucket"))
+    banded = signed.select("id", F.posexplode(bands).alias("band", "bucket"))
     sizes = banded.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = written(banded.join(sizes, "bucket"), "near-buckets")
+    mates = shared.select("id").distinct()  # all that follows reads only texts that share a bucket
+    texts, signed = written(texts.join(mates, "id", "left_semi"), "near-texts"), written(signed.join(mates, "id", "left_semi"), "near-signatures")
 
     standing = shared.groupBy("id").agg(F.sum("size").alias("standing"))
     ranked = shared.join(standing, "id").select("bucket", "id", _rank().alias("rank"))
@@ -329,9 +389,17 @@ def near_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
         compared = compared.unionByName(more)
         links = written(links.unionByName(verify(written(_alike(more, signed), "near-pairs"), texts, idf)), "near-links")
     members = _parted(shared, links)
-    sketches = written(sketch(texts.join(members.select("id").distinct(), "id", "left_semi"), idf), "near-sketches")
-    across = written(_across(members.join(sketches, "id")).join(compared, ["a", "b"], "left_anti"), "near-across")
-    return links.unionByName(written(verify(across, texts, idf), "near-links"))
+    if members.isEmpty():
+        return links
+    # a row a text: its buckets that have several components, by band
+    keys = members.groupBy("id").agg(F.array(*[
+        F.coalesce(F.max(F.when(F.col("band") == k, F.col("bucket"))), F.lit(0)) for k in range(BANDS)]).alias("bands"))
+    sketches = written(sketch(texts.join(members.select("id").distinct(), "id", "left_semi"), idf).join(keys, "id"), "near-sketches")
+    sketched = members.join(sketches, "id")
+    found = written(_with_candidates(sketched), "near-across")
+    few = written(texts.join(found.select("id").distinct(), "id", "left_semi"), "near-texts")
+    left = sketched.join(found, ["bucket", "id"], "left_semi").join(few, "id")
+    return links.unionByName(written(_forest(left, idf), "near-links"))
 
 
 def _rank():
@@ -339,12 +407,12 @@ def _rank():
 
 
 def _parted(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, size, id, root, largest, most) of the buckets with several components: the largest and how many members it has there."""
+    """(bucket, band, size, id, root, largest, most) of the buckets with several components: the largest and how many members it has there."""
     roots = written(components(links), "near-roots")
     rooted = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     counts = rooted.groupBy("bucket", "size", "root").agg(F.count("*").alias("n")).groupBy("bucket", "size").agg(F.max(F.struct("n", "root")).alias("top"))
     mixed = counts.where("top.n < size").select("bucket", F.col("top.root").alias("largest"), F.col("top.n").alias("most"))
-    return written(rooted.join(mixed, "bucket").select("bucket", "size", "id", "root", "largest", "most"), "near-members")
+    return written(rooted.join(mixed, "bucket").select("bucket", "band", "size", "id", "root", "largest", "most"), "near-members")
 
 
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
