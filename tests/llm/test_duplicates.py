@@ -113,6 +113,15 @@ def test_rounds_of_leaders_change_no_group(spark, monkeypatch, leaders, block):
     assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(60), brute_groups(rows)))
 
 
+def test_blocks_of_few_bytes_change_no_group(spark, monkeypatch):
+    """Every text is longer than a block may be, so that each is a part of its own."""
+    monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 200)
+    monkeypatch.setattr(near_dedup, "LEADERS", ())
+    base = prose(34, 90)
+    rows = [(k, edited(base, k, 1 + k % 2), "", "", 0, 0, "", "", 0, "") for k in range(30)]
+    assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(30), brute_groups(rows)))
+
+
 def test_sketches_miss_less_than_bands():
     n, alike, least = near_dedup.SKETCH, near_dedup.SIMILARITY, math.ceil(near_dedup.SKETCH_SHARE * near_dedup.SKETCH)
     missed = sum(math.comb(n, k) * alike**k * (1 - alike)**(n - k) for k in range(least))
