@@ -166,9 +166,9 @@ def trie(conversations: DataFrame) -> DataFrame:
     ship_code(spark)
     nodes = written(_nodes(conversations), "owned")
     shards = max(partitions(spark), nodes.count() // SHARD_NODES)
+    above = F.col("shard") == _shard(F.col("parent_conv_id"), F.col("depth") - 1, shards)  # a hash passes over nulls: the root has a number too
     nodes = nodes.withColumn("shard", _shard(F.col("conv_id"), F.col("depth"), shards)).withColumn(
-        "up", F.coalesce(F.col("shard") == _shard(F.col("parent_conv_id"), F.col("depth") - 1, shards), F.lit(False))).withColumn(
-        "leaves", (F.col("n_children") == 0).cast("long"))
+        "up", F.col("parent_conv_id").isNotNull() & above).withColumn("leaves", (F.col("n_children") == 0).cast("long"))
     doors = nodes.where("NOT up AND parent_conv_id IS NOT NULL").select(
         F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth")).distinct().withColumn("portal", F.lit(True))
     flagged = nodes.drop("ends_sha256", "n_convs").join(doors, ["conv_id", "depth"], "left").withColumn("portal", F.coalesce("portal", F.lit(False)))

@@ -76,6 +76,13 @@ def test_turnless_conversations_end_at_the_root(spark):
     check(spark, [(c, 0, "user", "only turn " * 2000, 1, "x", 2, "u") for c in range(1, 40)])
 
 
+@pytest.mark.parametrize("shards", [1, 2])
+def test_root_has_no_parent_in_any_shard(spark, monkeypatch, shards):
+    monkeypatch.setattr(prefix_trie, "partitions", lambda session: shards)
+    for first in (0, 64, 6400):  # the root's shard goes with the smallest id
+        check(spark, [(first + c, t, "user", f"t{t}", 1, "x", 2, "u") for c in range(6) for t in range(12)])
+
+
 def test_long_conversation_over_many_blocks_and_shards(spark, monkeypatch):
     for name, size in (("BLOCK", 16), ("CHUNK", 2), ("OWNERS", 3), ("LEVELS", 4)):
         monkeypatch.setattr(prefix_trie, name, size)
