@@ -56,14 +56,43 @@ def latest_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in order + rest])
 
 
-def dedup_ttl(events: DataFrame, key: str = "event_id", ttl_ms: int = DEDUP_TTL_MS, salts: int = 16) -> DataFrame:
+#: Rows of a key, copies included, up to which ``dedup_ttl`` lists them.
+LISTED_ROWS = 1_000
+
+
+def dedup_ttl(events: DataFrame, key: str = "event_id", ttl_ms: int = DEDUP_TTL_MS, salts: int = 16,
+              listed_rows: int = LISTED_ROWS) -> DataFrame:
     """Keep a row when its key was last *kept* more than ``ttl_ms`` before, as a set-if-absent with expiry does.
 
-    Most keys never reappear after the TTL, so their first row is the answer. For the others, each round finds
-    every key's next kept instant as a minimum over its later rows. The rounds are few (time span / TTL), their
-    input is only the keys that outlive the TTL, and a hot key is spread over ``salts`` tasks.
+    A key with at most ``listed_rows`` rows is one sorted list, walked once: one shuffle of the rows, however often the key
+    outlives the TTL. Keys are counted first, so that no longer list is ever built; the hot ones go in rounds.
+    Rows without a key or a timestamp are dropped.
     """
     payload = [c for c in events.columns if c not in (key, "timestamp")]
+    sent = events.where(F.col(key).isNotNull() & F.col("timestamp").isNotNull())
+    hot = cut_lineage(sent.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > listed_rows).select("_key"))
+    if hot.isEmpty():
+        return _ttl_by_list(sent, key, ttl_ms, payload)
+    hot, same = broadcast_if_small(hot), F.col(key) == F.col("_key")
+    few = _ttl_by_list(sent.join(hot, same, "left_anti"), key, ttl_ms, payload)
+    return few.unionByName(_ttl_in_rounds(sent.join(hot, same, "left_semi"), key, ttl_ms, salts, payload))
+
+
+def _ttl_by_list(events: DataFrame, key: str, ttl_ms: int, payload: list[str]) -> DataFrame:
+    """``dedup_ttl`` for keys with few rows. Of rows with one timestamp, the smallest comes first in the list."""
+    row = F.struct("timestamp", F.struct(*payload).alias("_row"))
+    lists = events.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("_rows"))
+    first = F.slice("_rows", 1, 1)
+    kept = F.aggregate("_rows", first, lambda done, row: F.when(
+        row["timestamp"] - F.element_at(done, -1)["timestamp"] > ttl_ms, F.concat(done, F.array(row))).otherwise(done))
+    return lists.select(key, F.inline(kept)).select(key, "timestamp", *[F.col(f"_row.{c}").alias(c) for c in payload])
+
+
+def _ttl_in_rounds(events: DataFrame, key: str, ttl_ms: int, salts: int, payload: list[str]) -> DataFrame:
+    """``dedup_ttl`` for hot keys: each round finds every key's next kept instant as a minimum over its later rows.
+
+    The rounds are few (time span / TTL), and a key is spread over ``salts`` tasks.
+    """
     copies = events.groupBy(key, "timestamp").agg(F.min(F.struct(*payload)).alias("_row"))
     unique = cut_lineage(copies)
     frontier = unique.groupBy(key).agg(F.min("timestamp").alias("kept"), F.max("timestamp").alias("_end"))

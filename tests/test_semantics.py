@@ -101,6 +101,24 @@ def test_ttl_dedup_matches_brute_force_with_a_hot_id(spark):
     assert {(r.event_id, r.timestamp) for r in dedup.dedup_ttl(df).collect()} == expected
 
 
+def test_ttl_dedup_stores_no_rows_of_keys_with_few(spark, monkeypatch):
+    stored = []
+
+    def counted(df):
+        stored.append(df.count())
+        return df
+    monkeypatch.setattr(dedup, "cut_lineage", counted)
+    days, schema = (0, 6, 6, 8, 16), "event_id string, timestamp bigint, payload string"
+    many = [(f"id{k}", d * DAY_MS, p) for k in range(50) for d in days for p in ("b", "a", None)]
+    gone = [(None, 0, "p"), ("none", None, "p")]
+    rows = {tuple(r) for r in dedup.dedup_ttl(spark.createDataFrame(many + gone, schema)).collect()}
+    assert rows == {(f"id{k}", d * DAY_MS, None) for k in range(50) for d in (0, 8, 16)}
+    assert sum(stored) == 0
+    monkeypatch.undo()
+    listed = {tuple(r) for r in dedup.dedup_ttl(spark.createDataFrame(many + gone, schema), listed_rows=3).collect()}
+    assert listed == rows
+
+
 def test_dedup_keeps_first_arrival_and_is_idempotent(spark):
     rows = spark.createDataFrame(
         [("a", 5, 1, "late"), ("a", 5, 0, "first"), ("b", 9, 0, "only"), ("a", 7, 0, "later")],
