@@ -7,6 +7,7 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from fixtures import PASSAGE, documents, edited, frame, prose, rows_of
 
@@ -244,6 +245,18 @@ def test_long_texts_are_read_in_parts(spark, monkeypatch):
     assert rows_of(report(frame(spark))) == brute_report(documents(), 400)
 
 
+def test_passages_of_a_long_text_take_little_memory():
+    text = np.random.default_rng(5).integers(97, 123, 3 << 20, dtype=np.uint8).tobytes().decode()
+    short = [text[k:k + 2000] for k in range(0, 1 << 20, 2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(short) + 1)), pa.array(range(len(short) + 1)), pa.array([*short, text])], ["t1", "t2", "text"])
+    tracemalloc.start()
+    windows = sum(sum(found.column(5).to_pylist()) for found in suffix_dedup.passage_batches(iter([batch]), 200, 64, suffix_dedup.RUN_BYTES))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert windows == sum(max(0, len(x) - 199) for x in [*short, text])
+    assert peak < 40 << 20, peak
+
+
 def test_passages_go_from_documents(spark):
     docs = frame(spark)
     out = {r.doc_id: r for r in remove_repeats(docs).collect()}
