@@ -9,12 +9,12 @@ of their weighted Jaccard similarity.
 Texts with an equal band share a bucket. Copies of a text count once. Within a bucket every text is compared with the bucket's
 leader, the text that shares most buckets (the original in a group of copies): as many pairs as texts. Compared means: the share
 of equal samples is at least ``LEAST_SHARE`` (a pair at the threshold misses that once in many millions) and then the exact
-weighted Jaccard similarity of the whole texts is at least ``SIMILARITY``. Where a bucket's texts are then in more than one
-component, those outside its largest component are compared with more leaders, the best standing texts of that component
-(``LEADERS``: their numbers in the rounds to come): in a group of texts about as alike as the threshold asks for, a leader reaches
-a half, and few stay outside. What is then still in more than one component is compared in all pairs of which one text is outside the
-largest component, in blocks and by longer sketches of ``SKETCH`` samples of a byte, each pair in the first bucket that it shares. This lists
-no pairs: only the texts that have a pair with a share of equal samples of at least ``SKETCH_SHARE`` go on, with their whole texts, to blocks
+weighted Jaccard similarity of the whole texts is at least ``SIMILARITY``. Two texts alone in a bucket are done with that. Where the texts
+of a bucket of more than ``LARGE`` blocks are then in more than one component, those outside its largest component are compared with more
+leaders, the best standing texts of that component (``LEADERS``: their numbers in the rounds to come): in a group of texts about as alike
+as the threshold asks for, a leader reaches a half, and few stay outside. What is then still in more than one component is compared in all
+pairs of which one text is outside the largest component, in blocks and by longer sketches of ``SKETCH`` samples of a byte, each pair in
+the first bucket of more than two texts that it shares. This lists no pairs: only the texts that have a pair with a share of equal samples of at least ``SKETCH_SHARE`` go on, with their whole texts, to blocks
 that verify such pairs and hand on a spanning forest of the links. So no pair of a bucket is left out, and none is verified that a component
 already covers or that a sketch rules out. A pair of similarity 0.8 shares a bucket with probability 1 - (1 - 0.8^4)^14 > 0.999,
 and its sketch, where it needs one, misses with probability 4e-8.
@@ -40,6 +40,8 @@ IDF_BITS = 18
 SKETCH, SKETCH_SHARE = 512, 0.70
 BLOCK, BLOCK_BYTES = 500, 1 << 22
 LEADERS = (3, 9)
+LARGE = 8
+FOUND = "bucket long, band int, id binary, root binary, largest binary, weight double, bytes long, bands array<long>, sketch binary"
 _RUN = 1 << 19
 _TABLE = 1 << 16
 
@@ -150,11 +152,11 @@ def word_idf(docs: DataFrame) -> np.ndarray:
             [pa.array(np.append(used, -1)), pa.array(np.append(seen[used], total))], ["bucket", "n"])
 
     found = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(
-        F.sum("n").alias("n")).toPandas().set_index("bucket")["n"]
+        F.sum("n").alias("n")).toArrow()
+    buckets, n = (found.column(c).to_numpy() for c in ("bucket", "n"))
     counts = np.zeros(size)
-    inside = found[found.index >= 0]
-    counts[inside.index.to_numpy()] = inside.to_numpy()
-    return (1 + np.log((1 + float(found.get(-1, 0))) / (1 + counts))).astype(np.float32)
+    counts[buckets[buckets >= 0]] = n[buckets >= 0]
+    return (1 + np.log((1 + float(n[buckets < 0].sum())) / (1 + counts))).astype(np.float32)
 
 
 def sign(texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -179,7 +181,7 @@ def sign(texts: DataFrame, idf: np.ndarray) -> DataFrame:
 
 
 def sketch(texts: DataFrame, idf: np.ndarray) -> DataFrame:
-    """(id, weight, sketch) for texts (columns id, text): a byte for each of SKETCH samples."""
+    """(id, bands, weight, bytes, sketch) for texts (columns id, text, bands): a byte for each of SKETCH samples."""
     packed = idf.tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +192,11 @@ def sketch(texts: DataFrame, idf: np.ndarray) -> DataFrame:
                 total = np.bincount(rows, weights, minlength=last - first)
                 samples = signatures(rows, shingles, weights, last - first, SKETCH).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(first, last - first), pa.array(total), pa.array([x.tobytes() for x in samples], pa.binary())],
-                    ["id", "weight", "sketch"])
+                    batch.column(0).slice(first, last - first), batch.column(2).slice(first, last - first), pa.array(total),
+                    pa.array(np.diff(offsets).astype(np.int64)), pa.array([x.tobytes() for x in samples], pa.binary())],
+                    ["id", "bands", "weight", "bytes", "sketch"])
 
-    return texts.mapInArrow(work, "id binary, weight double, sketch binary")
+    return texts.select("id", "text", "bands").mapInArrow(work, "id binary, bands array<long>, weight double, bytes long, sketch binary")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -300,23 +303,24 @@ def _candidates(rows: pa.Table) -> Iterator[tuple[int, int, np.ndarray, int, np.
 
 
 def _with_candidates(members: DataFrame) -> DataFrame:
-    """(bucket, id) of the members with another of a different root that may be alike: at most one row a member and block."""
+    """The members (``FOUND``) with another of a different root in their bucket that may be alike, each once."""
     def judge(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         found = np.zeros(rows.num_rows, bool)
         for _, _, _, k, near in _candidates(rows):
             found[k] = True
             found[near] = True
-        yield from rows.select(["bucket", "id"]).filter(pa.array(found)).to_batches()
+        yield from rows.select(names).filter(pa.array(found)).to_batches()
 
     def parts(size):
         return F.ceil(size / BLOCK).cast("int")
 
+    names = [c.split()[0] for c in FOUND.split(", ")]
     sized = members.withColumn("outer", parts(F.col("size") - F.col("most"))).withColumn("inner", parts(F.col("most")))
-    return _in_blocks(sized, [], judge, "bucket long, id binary").distinct()
+    return _in_blocks(sized, ["largest", "bytes"], judge, FOUND).dropDuplicates(["bucket", "id"])
 
 
-def _forest(members: DataFrame, idf: np.ndarray) -> DataFrame:
-    """Links (a, b) between members (with text) of different roots, verified on whole texts within blocks.
+def _forest(members: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+    """Links (a, b) between members of different roots, verified on whole texts (columns id, text) within blocks.
 
     A block hands on a link only where it joins what the block's other links do not, so less than it has members. A block has
     texts of about twice BLOCK_BYTES, or two longer texts.
@@ -350,11 +354,11 @@ def _forest(members: DataFrame, idf: np.ndarray) -> DataFrame:
     inside = F.col("root") == F.col("largest")
 
     def parts(own):
-        rows, size = F.count_if(own), F.coalesce(F.sum(F.when(own, F.octet_length("text"))), F.lit(0))
+        rows, size = F.count_if(own), F.coalesce(F.sum(F.when(own, F.col("bytes"))), F.lit(0))
         return F.greatest(F.ceil(rows / BLOCK), F.ceil(size / BLOCK_BYTES)).cast("int")
 
     sized = members.groupBy("bucket").agg(parts(~inside).alias("outer"), parts(inside).alias("inner"))
-    return _in_blocks(members.join(sized, "bucket"), ["text"], judge, "a binary, b binary")
+    return _in_blocks(members.join(sized, "bucket").join(texts, "id"), ["text"], judge, "a binary, b binary")
 
 
 def near_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
@@ -367,49 +371,56 @@ def near_links(texts: DataFrame, idf: np.ndarray) -> DataFrame:
     mates = shared.select("id").distinct()  # all that follows reads only texts that share a bucket
     texts, signed = written(texts.join(mates, "id", "left_semi"), "near-texts"), written(signed.join(mates, "id", "left_semi"), "near-signatures")
 
-    standing = shared.groupBy("id").agg(F.sum("size").alias("standing"))
-    ranked = shared.join(standing, "id").select("bucket", "id", _rank().alias("rank"))
-    top = ranked.groupBy("bucket").agg(F.max("rank").alias("rank"))
-    leader = ranked.join(top, ["bucket", "rank"]).groupBy("bucket").agg(F.min("id").alias("leader"))
-    to_leader = shared.join(leader, "bucket").where("id <> leader").select(
-        F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    first = written(verify(written(_alike(to_leader, signed), "near-pairs"), texts, idf), "near-links")
-
-    links, compared = first, to_leader
+    ranked = shared.select("bucket", "id", F.sum("size").over(Window.partitionBy("id")).alias("standing"))  # a text has BANDS rows at most
+    leader = ranked.groupBy("bucket").agg(F.max(F.struct(_rank().alias("rank"), "id")).alias("top")).select("bucket", F.col("top.id").alias("b"))
+    # dealt by the text, not by its leader, whose bucket may be large
+    to_leader = shared.join(leader, "bucket").where("id <> b").select(F.col("id").alias("a"), "b").repartition("a").dropDuplicates(["a", "b"])
+    links = written(verify(written(_alike(to_leader, signed), "near-pairs"), texts, idf), "near-links")
+    if links.isEmpty():
+        roots = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    else:
+        roots = written(components(links), "near-roots")
+    parted = _parted(shared, roots)
+
+    compared = to_leader.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for leaders in LEADERS:
-        parted = _parted(shared, links)
-        if parted.isEmpty():
-            return links
-        stood = parted.where("root = largest").join(standing, "id").withColumn("rank", _rank())
+        large = parted.where(F.col("size") > LARGE * BLOCK)
+        if large.isEmpty():
+            break
+        standing = shared.groupBy("id").agg(F.sum("size").alias("standing"))
+        stood = large.where("root = largest").join(standing, "id").withColumn("rank", _rank())
         best = Window.partitionBy("bucket").orderBy(F.desc("rank"), "id")
         few = stood.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= leaders).select("bucket", F.col("id").alias("leader"))
-        more = parted.where("root <> largest").join(few, "bucket").select(
+        more = large.where("root <> largest").join(few, "bucket").select(
             F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
         more = written(more.join(compared, ["a", "b"], "left_anti"), "near-pairs")
         compared = compared.unionByName(more)
-        links = written(links.unionByName(verify(written(_alike(more, signed), "near-pairs"), texts, idf)), "near-links")
-    members = _parted(shared, links)
-    if members.isEmpty():
-        return links
+        links = verify(written(_alike(more, signed), "near-pairs"), texts, idf)
+        roots = written(components(_stars(roots).unionByName(links)), "near-roots")
+        parted = _parted(shared, roots)
+    if parted.isEmpty():
+        return _stars(roots)
     # a row a text: its buckets that have several components, by band
-    keys = members.groupBy("id").agg(F.array(*[
+    keys = parted.groupBy("id").agg(F.array(*[
         F.coalesce(F.max(F.when(F.col("band") == k, F.col("bucket"))), F.lit(0)) for k in range(BANDS)]).alias("bands"))
-    sketches = written(sketch(texts.join(members.select("id").distinct(), "id", "left_semi"), idf).join(keys, "id"), "near-sketches")
-    sketched = members.join(sketches, "id")
-    found = written(_with_candidates(sketched), "near-across")
-    few = written(texts.join(found.select("id").distinct(), "id", "left_semi"), "near-texts")
-    left = sketched.join(found, ["bucket", "id"], "left_semi").join(few, "id")
-    return links.unionByName(written(_forest(left, idf), "near-links"))
+    sketches = written(sketch(texts.join(keys, "id"), idf), "near-sketches")
+    found = written(_with_candidates(parted.join(sketches, "id")), "near-across")
+    return _stars(roots).unionByName(written(_forest(found, texts, idf), "near-links"))
 
 
 def _rank():
     return F.col("standing") * 65536 + F.pmod(F.xxhash64("id"), F.lit(65536))
 
 
-def _parted(shared: DataFrame, links: DataFrame) -> DataFrame:
-    """(bucket, band, size, id, root, largest, most) of the buckets with several components: the largest and how many members it has there."""
-    roots = written(components(links), "near-roots")
-    rooted = shared.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+def _stars(roots: DataFrame) -> DataFrame:
+    """Links (a, b) with the components of ``roots``: what comes later joins components that are known."""
+    return roots.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+
+
+def _parted(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, band, size, id, root, largest, most) of the buckets of more than two texts with several components: the largest and how many
+    members it has there. (The one pair of a bucket of two has been compared: one of them led it.)"""
+    rooted = shared.where("size > 2").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     counts = rooted.groupBy("bucket", "size", "root").agg(F.count("*").alias("n")).groupBy("bucket", "size").agg(F.max(F.struct("n", "root")).alias("top"))
     mixed = counts.where("top.n < size").select("bucket", F.col("top.root").alias("largest"), F.col("top.n").alias("most"))
     return written(rooted.join(mixed, "bucket").select("bucket", "band", "size", "id", "root", "largest", "most"), "near-members")

@@ -114,6 +114,22 @@ def test_rounds_of_leaders_change_no_group(spark, monkeypatch, leaders, block):
     assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(60), brute_groups(rows)))
 
 
+def test_near_groups_take_few_rounds(spark, monkeypatch):
+    """A bucket that a few blocks hold goes to them at once: components are found after its leader and at the end, not after every round.
+    A bucket of two texts has no pair left after its leader, so nothing of it is sketched."""
+    rounds, sketched = [], []
+    monkeypatch.setattr(near_dedup, "components", lambda links: rounds.append(1) or components(links))
+    monkeypatch.setattr(near_dedup, "sketch", lambda texts, idf, own=near_dedup.sketch: sketched.append(texts.count()) or own(texts, idf))
+    base, other = prose(35, 90), prose(36, 90)
+    rows = [(k, edited(base, k, 1 + k % 2), "", "", 0, 0, "", "", 0, "") for k in range(24)]
+    assert {r.doc_id: r.group_id for r in near_groups(frame(spark, rows)).collect()} == dict(zip(range(24), brute_groups(rows)))
+    assert len(rounds) == 2 and len(sketched) == 1 and 2 < sketched[0] <= 24
+
+    two = [(k, edited(other, k, 5 * k), "", "", 0, 0, "", "", 0, "") for k in range(2)]  # about half alike: they share buckets and no group
+    assert [r.group_id for r in near_groups(frame(spark, two)).orderBy("doc_id").collect()] == [0, 1]
+    assert len(rounds) == 3 and len(sketched) == 1
+
+
 def test_blocks_of_few_bytes_change_no_group(spark, monkeypatch):
     """Every text is longer than a block may be, so that each is a part of its own."""
     monkeypatch.setattr(near_dedup, "BLOCK_BYTES", 200)
