@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from fixtures import PASSAGE, documents, edited, frame, prose, rows_of
+from pyspark.sql import functions as F
 
 from clickloom.llm import embedding_dedup, near_dedup, suffix_dedup
 from clickloom.llm.common import table
@@ -261,6 +262,34 @@ def test_long_texts_are_read_in_parts(spark, monkeypatch):
     assert rows_of(report(frame(spark))) == brute_report(documents(), 400)
 
 
+def test_a_hot_minimizer_is_not_dealt_to_one_task(spark, monkeypatch):
+    """A line that repeats within many texts: most passages have one minimizer, and one class."""
+    kept, shares = suffix_dedup.written, {}
+
+    def watched(df, purpose):
+        out = kept(df, purpose)
+        sizes = [r["count"] for r in out.groupBy(F.input_file_name()).count().collect()]
+        shares[purpose] = max(sizes, default=0) / max(1, sum(sizes))
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", watched)
+    line = prose(11, 6, line=6) + "\n"
+    rows = [(k, prose(100 + k, 40) + line * 60 + prose(900 + k, 40), "", "", 0, 0, "", "", 0, "") for k in range(160)]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}  # as on large tables
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        keyed, spans = repeated_spans(frame(spark, rows).repartition(16).select("doc_id", "text"), 100, 32)
+        found = keyed.join(spans, ["t1", "t2"], "left").collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    gone = {r.doc_id: len({p for s in r.spans or [] for p in range(s.a, s.b)}) for r in found}
+    assert gone == {r[0]: r[2] for r in brute_report(rows, 100)}
+    assert shares["passage-members"] < 0.5, shares
+
+
 def test_passages_of_a_long_text_take_little_memory():
     text = np.random.default_rng(5).integers(97, 123, 3 << 20, dtype=np.uint8).tobytes().decode()
     short = [text[k:k + 2000] for k in range(0, 1 << 20, 2000)]
